@@ -26,7 +26,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import materialize
@@ -101,10 +101,16 @@ ANCHORS = _anchors()
 _ANCHOR = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(a) for a in ANCHORS) + r")(?![a-z0-9])"
 
 
-def weights_table(docs: DataFrame) -> DataFrame:
+def weights_table(spark: SparkSession) -> DataFrame:
     """The constant table ``(word, template, x)``."""
-    rows = [(w, k, x) for k, v in enumerate(VECTORS) for w, x in v.items()]
-    return docs.sparkSession.createDataFrame(rows, "word string, template int, x double")
+    rows = ", ".join(f"('{w}', {k}, {x!r}D)" for k, v in enumerate(VECTORS) for w, x in v.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, template, x)")
+
+
+def idf_table(spark: SparkSession) -> DataFrame:
+    """The constant table ``(w, idf)``."""
+    rows = ", ".join(f"('{w}', {x!r}D)" for w, x in sorted(IDF.items()))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(w, idf)")
 
 
 def units(docs: DataFrame) -> DataFrame:
@@ -120,12 +126,11 @@ def units(docs: DataFrame) -> DataFrame:
 def cosines(docs: DataFrame) -> DataFrame:
     """``(row, whole, license, score)``: the best template of each unit at the threshold."""
     spark = docs.sparkSession
-    idf = spark.createDataFrame(sorted(IDF.items()), "w string, idf double")
     tokens = units(docs).select("row", "unit", "whole", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), F.lit(1))).alias("word")).where(~F.col("word").isin(*STOP))
     counts = tokens.groupBy("row", "unit", "whole", "word").agg(F.count("*").alias("tf"))
-    weighed = counts.join(F.broadcast(idf), F.col("word") == F.col("w"), "left").withColumn("y", F.col("tf") * F.coalesce("idf", F.lit(UNKNOWN)))  # the idf table is a constant
+    weighed = counts.join(F.broadcast(idf_table(spark)), F.col("word") == F.col("w"), "left").withColumn("y", F.col("tf") * F.coalesce("idf", F.lit(UNKNOWN)))  # the idf table is a constant
     norm = weighed.groupBy("row", "unit", "whole").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm"))
-    dots = weighed.join(F.broadcast(weights_table(docs)), "word").groupBy("row", "unit", "whole", "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    dots = weighed.join(F.broadcast(weights_table(spark)), "word").groupBy("row", "unit", "whole", "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     score = F.round(F.col("dot") / F.col("norm") * 10000).cast("int")
     names = F.element_at(F.array(*[F.lit(name) for name, _ in TEMPLATES]), F.col("template") + 1)
     return dots.join(norm, ["row", "unit", "whole"]).select("row", "whole", names.alias("license"), score.alias("score")).where(F.col("score") >= THRESHOLD)
