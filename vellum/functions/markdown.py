@@ -11,10 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-IMAGE = r"!\[[^\]]*\]\([^)]+\)"
+_ALT, _END = r"!\x5B{}\x5D\x28", r"\x29"
+IMAGE = _ALT.format(r"[^\x5D]*") + r"[^\x29]+" + _END
 #: An image whose target ends in a raster suffix: alt text and target.
-CAPTIONABLE = r"!\[([^\]]*)\]\(([^)]+\.(?i:png|jpg|jpeg|gif|webp))\)"
-TABLE = rf"(?dm)^\|.+\|{WHITE}*\n\|[-:| ]+\|"
+CAPTIONABLE = _ALT.format(r"([^\x5D]*)") + r"([^\x29]+[.](?i:gif|png|webp|jpe?g))" + _END
+TABLE = rf"(?dm)^[|].+[|]{WHITE}*\n[|][-:| ]+[|]"
 HEADING = rf"(?dm)^#{{1,6}}{WHITE}+"
 
 

@@ -44,12 +44,12 @@ _PARTS = """concat('# ', source, chr(10), chr(10), text,
   CASE WHEN doc_id % 5 = 0 THEN concat(chr(10), chr(10), '| a | b |', chr(10), '| --- | --- |', chr(10), '| 1 | 2 |') ELSE '' END,
   CASE WHEN doc_id % 7 = 0 THEN concat(chr(10), chr(10), '$$ x = y $$') ELSE '' END)"""
 _MD = f"md AS (SELECT doc_id, lang, source, {_PARTS} AS md FROM documents)"
-_CAP = r"!\[([^\]]*)\]\(([^)]+\.(?i:png|jpg|jpeg|gif|webp))\)"
-_IMG = r"!\[([^\]]*)\]\(([^)]+)\)"
-_COUNTS = r"""len(regexp_extract_all(md, '!\[[^\]]*\]\([^)]+\)'))::BIGINT AS num_images,
-  len(regexp_extract_all(md, '(?m)^\|.+\|\s*\n\|[-:| ]+\|'))::BIGINT AS num_tables,
+_CAP = markdown.CAPTIONABLE
+_IMG = markdown.IMAGE.replace("[^\\x29]+", "([^\\x29]+)")
+_COUNTS = rf"""len(regexp_extract_all(md, '{markdown.IMAGE}'))::BIGINT AS num_images,
+  len(regexp_extract_all(md, '(?m)^[|].+[|]\s*\n[|][-:| ]+[|]'))::BIGINT AS num_tables,
   ((length(md) - length(replace(md, '$$', ''))) // 4)::BIGINT AS num_equations,
-  len(regexp_extract_all(md, '(?m)^#{1,6}\s+'))::BIGINT AS num_headings"""
+  len(regexp_extract_all(md, '(?m)^[#]{{1,6}}\s+'))::BIGINT AS num_headings"""
 
 
 def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +73,9 @@ def image_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caption.images(derived(spark, sf_dir).withColumnRenamed("doc_id", "paper_key")).select(F.col("paper_key").alias("doc_id"), "pos", "alt", "target")
 
 
-@query(f"WITH {_MD}, x AS (SELECT unnest(regexp_extract_all(md, '{_IMG}', 2)) AS target FROM md), y AS (SELECT regexp_matches(target, '(?i)\\.(png|jpg|jpeg|gif|webp)$') AS captionable, CASE lower(regexp_extract(target, '\\.[^./]+$')) WHEN '.png' THEN 'image/png' WHEN '.gif' THEN 'image/gif' WHEN '.webp' THEN 'image/webp' ELSE 'image/jpeg' END AS media_type FROM x) SELECT captionable, media_type, count(*) AS n FROM y GROUP BY ALL")
+@query(f"WITH {_MD}, x AS (SELECT unnest(regexp_extract_all(md, '{_IMG}', 1)) AS target FROM md), y AS (SELECT regexp_matches(target, '(?i)\\.(png|jpg|jpeg|gif|webp)$') AS captionable, CASE lower(regexp_extract(target, '\\.[^./]+$')) WHEN '.png' THEN 'image/png' WHEN '.gif' THEN 'image/gif' WHEN '.webp' THEN 'image/webp' ELSE 'image/jpeg' END AS media_type FROM x) SELECT captionable, media_type, count(*) AS n FROM y GROUP BY ALL")
 def captionable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = F.explode(F.regexp_extract_all("md", F.lit(r"!\[[^\]]*\]\(([^)]+)\)"), F.lit(1))).alias("target")
+    target = F.explode(F.regexp_extract_all("md", F.lit(_IMG), F.lit(1))).alias("target")
     x = derived(spark, sf_dir).select(target)
     own = F.col("target").rlike(r"(?i)\.(png|jpg|jpeg|gif|webp)$")
     return x.groupBy(own.alias("captionable"), paths.media_type(F.col("target")).alias("media_type")).agg(F.count("*").alias("n"))
