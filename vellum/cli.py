@@ -10,9 +10,9 @@ from vellum.plans import pipeline
 
 def main(args: list[str] | None = None, **injected) -> int:
     parser = argparse.ArgumentParser(description="Turn PDFs into Markdown with structural counts and figure captions.")
-    parser.add_argument("--input", required=True, help="a PDF or a folder of PDFs")
-    parser.add_argument("--config", help="a JSON or YAML configuration")
-    parser.add_argument("--caption", action="store_true", help="caption figures")
+    flags = {"input": dict(required=True, help="a PDF or a folder of PDFs"), "config": dict(help="a JSON or YAML configuration"), "caption": dict(action="store_true", help="describe figures")}
+    for name, how in flags.items():
+        parser.add_argument(f"--{name}", **how)
     given = parser.parse_args(args)
     configuration.load_env()
     config = configuration.resolve(None, given.config, None, given.caption)

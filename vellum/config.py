@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import dataclass, field, fields, make_dataclass, replace
 from pathlib import Path
 
 from vellum.errors import ConfigurationError
@@ -12,56 +12,35 @@ from vellum.errors import ConfigurationError
 CAPTION_PROMPT = "Describe this figure in at most 300 characters: its kind, what it shows, and the main trend or parts, so that a reader does without the image."
 
 
-@dataclass(frozen=True)
-class Ocr:
-    command: str = "ocr"
-    backend: str = "pipeline"
-    extra_args: tuple[str, ...] = ()
+def _section(name: str, **defaults: object) -> type:
+    return make_dataclass(name, [(k, type(v) if v is not None else "str | None", field(default=v)) for k, v in defaults.items()], frozen=True, module=__name__)
 
 
-@dataclass(frozen=True)
-class Captioning:
-    enabled: bool = False
-    max_retries: int = 2
-    timeout_seconds: int = 180
-    caption_prompt: str = CAPTION_PROMPT
+#: The external OCR command.
+Ocr = _section("Ocr", backend="pipeline", command="ocr", extra_args=())
+Captioning = _section("Captioning", caption_prompt=CAPTION_PROMPT, timeout_seconds=180, max_retries=2, enabled=False)
+#: ``force``: run again what has succeeded or left files behind.
+Resume = _section("Resume", skip_completed_stages=True, force=False, enabled=True)
+Logging = _section("Logging", log_file=None, level="INFO")
+Output = _section("Output", captioned_markdown_dir_name="captioned_markdown", markdown_dir_name="markdown", raw_dir_name="ocr_raw", manifests_dir_name="manifests", input_dir_name="input", root_dir="data_ocr")
+
+_ENVIRONMENT = {"api_key": ("OPENAI_API_KEY", "AZURE_OPENAI_API_KEY"), "base_url": ("OPENAI_BASE_URL", "AZURE_OPENAI_ENDPOINT")}
 
 
 @dataclass(frozen=True)
 class Apis:
-    api_key: str | None = None
-    base_url: str | None = None
-    api_version: str = "2023-05-15"
+    """The captioning service; a key or URL that is not given comes from the environment."""
+
     model: str = "vision"
+    api_version: str = "2023-05-15"
+    base_url: str | None = None
+    api_key: str | None = None
 
     def __post_init__(self) -> None:
-        for name, variables in (("api_key", ("OPENAI_API_KEY", "AZURE_OPENAI_API_KEY")), ("base_url", ("OPENAI_BASE_URL", "AZURE_OPENAI_ENDPOINT"))):
-            if not getattr(self, name):
-                object.__setattr__(self, name, next((v for x in variables if (v := os.getenv(x))), getattr(self, name)))
-
-
-@dataclass(frozen=True)
-class Resume:
-    enabled: bool = True
-    skip_completed_stages: bool = True
-    #: Run again what has succeeded or left files behind.
-    force: bool = False
-
-
-@dataclass(frozen=True)
-class Output:
-    root_dir: str = "data_ocr"
-    input_dir_name: str = "input"
-    manifests_dir_name: str = "manifests"
-    raw_dir_name: str = "ocr_raw"
-    markdown_dir_name: str = "markdown"
-    captioned_markdown_dir_name: str = "captioned_markdown"
-
-
-@dataclass(frozen=True)
-class Logging:
-    level: str = "INFO"
-    log_file: str | None = None
+        for name, variables in _ENVIRONMENT.items():
+            found = next((v for x in variables if (v := os.getenv(x))), None)
+            if found and not getattr(self, name):
+                object.__setattr__(self, name, found)
 
 
 @dataclass(frozen=True)
@@ -106,20 +85,19 @@ def load(path: str | Path) -> Config:
 
 
 def validate(config: Config) -> None:
-    if not config.ocr.command.strip():
-        raise ConfigurationError("ocr.command is blank")
-    if not config.ocr.backend.strip():
-        raise ConfigurationError("ocr.backend is blank")
-    if config.captioning.max_retries < 0:
-        raise ConfigurationError("captioning.max_retries is below 0")
-    if config.captioning.timeout_seconds <= 0:
-        raise ConfigurationError("captioning.timeout_seconds is not above 0")
-    if config.captioning.enabled:
-        for name in ("api_key", "base_url"):
-            if not (getattr(config.apis, name) or "").strip():
-                raise ConfigurationError(f"captioning needs apis.{name}")
-    if not config.output.root_dir.strip():
-        raise ConfigurationError("output.root_dir is blank")
+    cap, blank = config.captioning, lambda x: not (x or "").strip()
+    wrong = {
+        "ocr.command is blank": blank(config.ocr.command),
+        "ocr.backend is blank": blank(config.ocr.backend),
+        "captioning can't be retried less than never": cap.max_retries < 0,
+        "captioning needs a time limit above 0": cap.timeout_seconds <= 0,
+        "captioning needs apis.api_key": cap.enabled and blank(config.apis.api_key),
+        "captioning needs apis.base_url": cap.enabled and blank(config.apis.base_url),
+        "output.root_dir is blank": blank(config.output.root_dir),
+    }
+    for what, so in wrong.items():
+        if so:
+            raise ConfigurationError(what)
 
 
 def load_env(path: str | Path | None = None) -> None:
@@ -131,7 +109,7 @@ def load_env(path: str | Path | None = None) -> None:
     load_dotenv(path or Path.cwd() / ".env", override=False)
 
 
-def resolve(config: Config | None = None, config_path: str | Path | None = None, output_dir: str | Path | None = None, caption: bool = False) -> Config:
+def resolve(config=None, config_path=None, output_dir=None, caption=False) -> Config:
     """An object goes before a path, a path before ``config.json`` in the working folder, that before the defaults.
 
     Overrides give a new object; the caller's stays as it is.

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MAX_NAME = 180
-MEDIA_TYPES = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".gif": "image/gif", ".webp": "image/webp"}
+MEDIA_TYPES = {f".{x}": f"image/{x}" for x in ("gif", "jpeg", "png", "webp")} | {".jpg": "image/jpeg"}
 
 
 def name(path: Column) -> Column:
@@ -34,7 +34,7 @@ def paper_key(path: Column) -> Column:
 
 def sanitized(value: Column, max_length: int = MAX_NAME) -> Column:
     """A file-system-safe component: other characters collapse to ``_``, edges lose ``.`` and ``_``."""
-    safe = F.regexp_replace(F.regexp_replace(value, "[^A-Za-z0-9._-]+", "_"), "^[._]+|[._]+$", "")
+    safe = F.regexp_replace(F.regexp_replace(value, r"[^\w.-]+", "_"), "^[._]+|[._]+$", "")
     return F.substring(F.when(safe == "", "unknown").otherwise(F.coalesce(safe, F.lit("unknown"))), 1, max_length)
 
 

@@ -52,7 +52,8 @@ def api(config: Config) -> Captioner:
 
             client = openai.AzureOpenAI(api_key=apis.api_key, azure_endpoint=apis.base_url, api_version=apis.api_version, timeout=own.timeout_seconds)
         url = f"data:{media_type(path)};base64,{base64.b64encode(Path(path).read_bytes()).decode()}"
-        answer = client.chat.completions.create(model=apis.model, messages=[{"role": "user", "content": [{"type": "text", "text": own.caption_prompt}, {"type": "image_url", "image_url": {"url": url}}]}])
+        parts = [dict(type="text", text=own.caption_prompt), dict(type="image_url", image_url=dict(url=url))]
+        answer = client.chat.completions.create(model=apis.model, messages=[dict(role="user", content=parts)])
         return (answer.choices[0].message.content or "").strip() or None
 
     return with_retries(caption, own.max_retries)

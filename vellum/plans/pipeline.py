@@ -35,13 +35,13 @@ CAPTION_SCHEMA = "paper_key string, md string, images_found bigint, images_capti
 class Result:
     """What a caller sees of one document."""
 
-    pdf_path: str
+    label: str
+    status: str
     success: bool
-    markdown_path: str | None
-    captioned_path: str | None
     error: str | None
-    status: str
-    label: str
+    pdf_path: str
+    captioned_path: str | None
+    markdown_path: str | None
 
     @property
     def effective_markdown(self) -> str | None:
@@ -77,13 +77,13 @@ def summary(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if("success").alias("succeeded"), F.count("*").alias("total")).withColumn("exit_code", (F.col("succeeded") != F.col("total")).cast("int"))
 
 
-def enable_logging(level: str = "INFO", log_file: str | None = None) -> None:
+def enable_logging(level="INFO", log_file=None) -> None:
     """Progress lines of the library, to the console and, if named, a file."""
     LOGGER.setLevel(level.upper())
     handlers: list[logging.Handler] = [logging.StreamHandler()]
     if log_file:
         Path(log_file).parent.mkdir(parents=True, exist_ok=True)
-        handlers.append(logging.FileHandler(log_file, encoding="utf-8"))
+        handlers.append(logging.FileHandler(log_file, "a", "utf-8"))
     for h in handlers:
         h.setFormatter(logging.Formatter("%(asctime)s | %(levelname)s | %(message)s"))
     LOGGER.handlers = handlers
@@ -247,7 +247,7 @@ class Pipeline:
         )
 
 
-def ocr(input_path: str | Path, *, caption: bool = False, config: Config | None = None, config_path: str | Path | None = None, output_dir: str | Path | None = None, spark: SparkSession | None = None, extractor: extraction.Extractor | None = None, captioner: captioning.Captioner | None = None) -> list[Result]:
+def ocr(input_path, *, caption=False, config=None, config_path=None, output_dir=None, spark=None, extractor=None, captioner=None) -> list[Result]:
     """Process one PDF or a folder of them; results in input order."""
     configuration.load_env()
     resolved = configuration.resolve(config, config_path, output_dir, caption)

@@ -13,6 +13,10 @@ from vellum.functions import markdown, paths
 JOBS_SCHEMA = "ord int, pdf_path string"
 
 
+def _is_pdf(p: Path) -> bool:
+    return p.suffix.lower() == ".pdf"
+
+
 def resolve_inputs(path: str | Path) -> list[str]:
     """Real paths of one PDF, or of a folder's PDFs in order; folders below aren't searched.
 
@@ -22,12 +26,12 @@ def resolve_inputs(path: str | Path) -> list[str]:
     if not p.exists():
         raise InputParseError(f"{p} does not exist")
     if p.is_file():
-        if p.suffix.lower() != ".pdf":
+        if not _is_pdf(p):
             raise InputParseError(f"{p} is no PDF")
         return [str(p)]
     if not p.is_dir():
         raise InputParseError(f"{p} is neither a file nor a folder")
-    found = sorted(str(x.resolve()) for x in p.iterdir() if x.is_file() and x.suffix.lower() == ".pdf")
+    found = sorted(str(x.resolve()) for x in p.iterdir() if x.is_file() and _is_pdf(x))
     if not found:
         raise InputParseError(f"{p} holds no PDF")
     return found
