@@ -58,6 +58,8 @@ def test_manifest_round_trip_and_corrupt(spark):
     assert back["p"].output_paths["markdown"] == "/x.md"
     assert back["p"].output_paths["pdf"] == "/in/p.pdf"
     assert back["q"].batch_status == "not_started"
+    assert (back["q"].input_snapshot["input_value"], back["q"].selected_source["source_name"]) == ("/in/q.pdf", "local_pdf")
+    assert '"title":"q"' in back["q"].paper_snapshot
     assert set(back["q"].stage_states) == set(state.STAGES)
     bad = spark.createDataFrame([("{oops",), ("null",), ('{"paper_key": "z", "created_at": "t", "updated_at": ""}',)], "json string")
     rows = state.from_json(bad).collect()

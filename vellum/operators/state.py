@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.functions import paths
+from vellum.functions import paths, records
 
 STAGES = ("parse_input", "fetch_metadata", "recover_identifiers", "resolve_source", "download_pdf", "extract_markdown", "caption_markdown")
 ACQUISITION, EXTRACT, CAPTION = STAGES[:5], STAGES[5], STAGES[6]
@@ -111,7 +111,8 @@ def pending(jobs: DataFrame, folded: DataFrame, stage: str, enabled: bool = True
 def manifests(jobs: DataFrame, events: DataFrame, root: Column) -> DataFrame:
     """The manifest view: every job's state, planned paths, and stages by name.
 
-    ``jobs(paper_key, pdf_path)``; the latest output paths and statistics come
+    ``jobs(paper_key, pdf_path)`` give the snapshots of input, paper and source,
+    which so are always the last run's; the latest output paths and statistics come
     out of the details of the stages.
     """
     stages = filled_stages(jobs, fold_stages(events))
@@ -128,12 +129,13 @@ def manifests(jobs: DataFrame, events: DataFrame, root: Column) -> DataFrame:
     return jobs.join(fold_manifest(events), "paper_key", "left").join(by_key, "paper_key").select(
         F.lit(VERSION).alias("manifest_version"), "paper_key", iso(F.col("created_at")).alias("created_at"), iso(F.coalesce("updated_at", "created_at")).alias("updated_at"),
         F.coalesce("batch_status", F.lit("not_started")).alias("batch_status"), "current_stage", "failed_stage", "final_error",
-        merged_paths.alias("output_paths"), F.create_map(F.lit("extraction"), F.coalesce("extraction", none), F.lit("captioning"), F.coalesce("captioning", none)).alias("stats"), "stage_states",
+        F.create_map(F.lit("input_type"), F.lit("local_pdf"), F.lit("input_value"), F.col("pdf_path")).alias("input_snapshot"), F.to_json(records.from_local_pdf(F.col("paper_key"), F.col("pdf_path"))).alias("paper_snapshot"),
+        records.selected_source(F.col("pdf_path")).alias("selected_source"), merged_paths.alias("output_paths"), F.create_map(F.lit("extraction"), F.coalesce("extraction", none), F.lit("captioning"), F.coalesce("captioning", none)).alias("stats"), "stage_states",
     )
 
 
 STAGE_STATE = "struct<status:string,attempts:bigint,started_at:string,completed_at:string,message:string,error:string,details:map<string,string>>"
-MANIFEST_SCHEMA = f"manifest_version int, paper_key string, created_at string, updated_at string, batch_status string, current_stage string, failed_stage string, final_error string, output_paths map<string,string>, stats map<string,map<string,string>>, stage_states map<string,{STAGE_STATE}>"
+MANIFEST_SCHEMA = f"manifest_version int, paper_key string, created_at string, updated_at string, batch_status string, current_stage string, failed_stage string, final_error string, input_snapshot map<string,string>, paper_snapshot string, selected_source map<string,string>, output_paths map<string,string>, stats map<string,map<string,string>>, stage_states map<string,{STAGE_STATE}>"
 
 
 def to_json(rows: DataFrame) -> DataFrame:
@@ -158,6 +160,7 @@ def from_json(rows: DataFrame) -> DataFrame:
         F.coalesce(x["manifest_version"], F.lit(VERSION)).alias("manifest_version"), x["paper_key"].alias("paper_key"), x["created_at"].alias("created_at"),
         F.coalesce(F.nullif(x["updated_at"], F.lit("")), x["created_at"]).alias("updated_at"), F.coalesce(x["batch_status"], F.lit("not_started")).alias("batch_status"),
         x["current_stage"].alias("current_stage"), x["failed_stage"].alias("failed_stage"), x["final_error"].alias("final_error"),
+        F.coalesce(x["input_snapshot"], empty).alias("input_snapshot"), x["paper_snapshot"].alias("paper_snapshot"), F.coalesce(x["selected_source"], empty).alias("selected_source"),
         F.coalesce(x["output_paths"], empty).alias("output_paths"), F.coalesce(x["stats"], F.create_map().cast("map<string,map<string,string>>")).alias("stats"), defaulted.alias("stage_states"),
         F.when(bad, F.concat(F.lit("manifest can't be read: "), F.substring(F.coalesce("json", F.lit("")), 1, 200))).alias("load_error"),
     )
