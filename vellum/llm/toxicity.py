@@ -337,7 +337,7 @@ def learned(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int =
                 x = _evidence(lexicon, hi - lo, parts)
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), *(pa.array(np.ascontiguousarray(x[:, k])) for k in range(3))], ["toxic", "x0", "x1", "x2"])
 
-    seen = rows.where("half = 1").select("text", "toxic").mapInArrow(evidence, "toxic int, x0 double, x1 double, x2 double").orderBy("toxic", "x0", "x1", "x2").collect()  # at most `sample` rows
+    seen = sorted(map(tuple, rows.where("half = 1").select("text", "toxic").mapInArrow(evidence, "toxic int, x0 double, x1 double, x2 double").collect()))  # at most `sample` rows
     y, x = np.array([r[0] for r in seen], float), np.array([r[1:] for r in seen], float).reshape(-1, 3)
     if not len(y):
         return lexicon, np.array([np.log((toxic + 0.5) / (other + 0.5)), 0.0, 0.0, 0.0])
