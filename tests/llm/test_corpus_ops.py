@@ -92,6 +92,7 @@ def test_tuning():
         bands, rows = near_dedup.tuned(jaccard)
         assert bands * rows <= near_dedup.HASHES
         assert 1 - (1 - jaccard**rows) ** bands >= near_dedup.RECALL or rows == 1
+    assert all(d for d in near_dedup.banding([1, 10, 11, 12, 100]))
     far = near_dedup.plan([1, 10, 11, 12, 100])
     assert (1, 2) in [x[:2] for x in far]
     assert (0, 4) not in [x[:2] for x in far]

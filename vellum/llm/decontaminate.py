@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import materialize
+from .shared import Scratch, materialize
 
 WIDTH, NEEDED, LEAST, PLAIN_WORDS = 8, 13, 8, 4
 NUMBER, UNIT, NAME = 1, 2, 3
@@ -121,10 +121,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     many documents hold costs one row per window and item, never pairs of
     documents.
     """
-    items = materialize(windows(_texts(benchmark, "item_id")).distinct(), "benchmark-windows")
+    with Scratch(docs.sparkSession) as scratch:
+        return materialize(_contaminated(docs, benchmark, scratch), "contaminated")
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
+    items = scratch.table(windows(_texts(benchmark, "item_id")).distinct(), "benchmark-windows")
     hits = windows(_texts(docs, "doc_id"), bloom=vec.bloom_of(items, "t", 24))
     i = items.select(F.col("id").alias("item_id"), "t", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
-    met = materialize(hits.join(i, "t").select(F.col("id").alias("doc_id"), "item_id", "at", "item_at", "slots", "item_slots"), "benchmark-matches")
+    met = scratch.table(hits.join(i, "t").select(F.col("id").alias("doc_id"), "item_id", "at", "item_at", "slots", "item_slots"), "benchmark-matches")
 
     run = ["doc_id", "item_id", "offset"]
     met = met.withColumn("offset", F.col("at") - F.col("item_at"))

@@ -42,17 +42,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop(df_path: str, spark: SparkSession) -> None:
-    """Remove a folder that :func:`new_dir` named."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(df_path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def own_columns(df: DataFrame, **columns: str) -> DataFrame:
-    """Select the named columns only, under the operator's own names.
-
-    Extra columns, and names that would clash with the operator's, are left
-    behind here; callers join results back by key.
-    """
-    return df.select(*[df[have].alias(name) for name, have in columns.items()])
+class Scratch:
+    """Tables of the shared folder that last as long as an operator works: ``with Scratch(spark) as s: s.table(df, label)``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop()
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        """As :func:`materialize`; the table goes with the scratch."""
+        path = new_dir(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: int = 0) -> None:
+        """Remove all tables but the last ``keep``."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+        for path in gone:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)

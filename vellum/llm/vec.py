@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 21
+SLICE = 1 << 19
 U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _INV = pow(_P, -1, 1 << 64)
@@ -35,7 +35,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse."""
     global _powers
     if len(_powers[0]) < n:
-        n = max(n, SLICE + (SLICE >> 2))
+        n = max(n, SLICE + (SLICE >> 2) + 1)
         up, down = np.full(n, _P, U), np.full(n, _INV, U)
         up[0] = down[0] = 1
         _powers = np.multiply.accumulate(up), np.multiply.accumulate(down)
@@ -81,6 +81,13 @@ class Words:
         return np.searchsorted(newline, self.start) - np.repeat(np.searchsorted(newline, self.text_at[:-1]), self.n)
 
 
+def small(batches, rows: int = 1024):
+    """Arrow batches in parts of few rows, which bounds what is held at once."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, bytes, offsets) of runs of whole texts of about SLICE bytes; null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -205,7 +212,7 @@ class Bloom:
 
 
 def bloom_of(df, column: str, bits: int = 24) -> Bloom:
-    """A Bloom table of a bigint column: made by the executors, one table a task, and merged one by one."""
+    """A Bloom table of a bigint column: made by at most 64 tasks, one table each, and merged one by one."""
 
     def run(batches):
         b = Bloom(bits)
@@ -220,6 +227,6 @@ def bloom_of(df, column: str, bits: int = 24) -> Bloom:
     import zlib
 
     whole = np.zeros(1 << (bits - 3), np.uint8)
-    for row in df.select(column).mapInArrow(run, "table binary").toLocalIterator():
+    for row in df.select(column).coalesce(64).mapInArrow(run, "table binary").toLocalIterator():
         whole |= np.frombuffer(zlib.decompress(row[0]), np.uint8)
     return Bloom(bits, whole)
