@@ -3,19 +3,19 @@
 A line is the set of its words.  A line goes if an earlier one (smaller doc_id,
 then smaller line number) has a Jaccard similarity of at least ``THRESHOLD``.
 
-1. Words are counted over all documents in a hashed table of fixed size; it
-   orders the words of every line, rarest first.  The order is total and the
-   same everywhere, so the table's collisions cost time, never results.
+1. Words are counted over all documents in hashed tables of fixed size; they
+   order the words of every line, rarest first.  The order is total and the
+   same everywhere, so the tables' collisions cost time, never results.
 2. Each line posts its prefix: two lines at the threshold share a word there.
    A word that occurs once in the table is never posted.  Equal sets are
    collapsed per batch and again per word, so a line that a third of all
    documents share posts as often as there are batches.
 3. Postings are dealt out by word and sorted by set size.  A pair survives if
    its sizes (length filter), its places in the orders (positional filter) and
-   a 128-bit parity of its words (no two sets differ in more bits than words)
-   allow the threshold.  Of the survivors only the earliest per line and word
-   goes on; lines for which all of these fail verification, though there were
-   more, are joined again with all survivors.
+   a parity of 64 or 128 bits of its words (no two sets differ in more bits than words)
+   allow the threshold.  Of the survivors the ``KEPT_PER_WORD`` earliest per
+   line and word go on; lines for which all of these fail verification, though
+   there were more, are joined again with all survivors.
 4. Survivors are verified by exact Jaccard over the words' 64-bit hashes.
 
 Defined results: lines of fewer than ``MIN_WORDS`` distinct words always stay,
@@ -35,14 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import materialize
+from .shared import Scratch, materialize
 
 THRESHOLD, MIN_WORDS = 0.8, 4
-#: Bits of the table of word counts: 2 ** 20 counts, 8 MB.
-TABLE_BITS, CHUNK = 20, 4096
-KEPT_PER_WORD = 1
-
-POSTS = "t bigint, n int, pos int, s1 bigint, doc_id bigint, line int, b0 bigint, b1 bigint"
+#: Bits of the table of word counts (2 ** 20 counts, 8 MB) and of the finer one that tells words seen once (2 ** 24 bytes).
+TABLE_BITS, SEEN_BITS, CHUNKS = 20, 24, 256
+#: Lines of more words keep 128 parity bits instead of 64.
+LONG = 64
+#: Survivors of a line and word that go on at once, earliest first.
+KEPT_PER_WORD = 16
+
+POSTS = "t bigint, np bigint, s1 bigint, doc_id bigint, line int, b0 bigint, b1 bigint"
 PAIRS = "doc_id bigint, line int, e_doc bigint, e_line int, more boolean"
 
 
@@ -50,47 +53,65 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).where("doc_id is not null and text is not null")
 
 
-def word_table(docs: DataFrame) -> np.ndarray:
-    """Counts of all words by the top bits of their hashes.
+SCAN = "doc_id bigint, line int, s1 bigint, s2 bigint, chunk int, counts binary, seen binary"
 
-    Each task adds up its own table and sends it in compressed chunks; the
-    chunks are added where they are dealt to, as a stream.  The driver gets the
-    sum, 2 ** TABLE_BITS numbers for any input.
-    """
-    rows = (1 << TABLE_BITS) // CHUNK
 
-    def count(batches):
-        table = np.zeros(1 << TABLE_BITS, np.int64)
+def scanned(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """One pass over the texts, written once: ``(doc_id, line, s1, s2)`` of all lines that take part (their places and
+    128-bit set hashes), and each task's word counts as compressed ``(chunk, counts, seen)``."""
+    names = ["doc_id", "line", "s1", "s2", "chunk", "counts", "seen"]
+
+    def run(batches):
+        table, seen = np.zeros(1 << TABLE_BITS, np.int64), np.zeros(1 << SEEN_BITS, np.uint8)
         for batch in batches:
-            for _, _, buf, at in vec.slices(batch.column(0)):
-                h = vec.words(buf, at).hash
-                table += np.bincount((h >> vec.U(64 - TABLE_BITS)).astype(np.int64), minlength=len(table))
-        parts = table.reshape(rows, CHUNK)
+            found = []
+            for lo, _, buf, at in vec.slices(batch.column(1)):
+                w = vec.words(buf, at)
+                found.append((w.hash >> vec.U(64 - SEEN_BITS)).astype(np.int32))
+                x = Lines(w)
+                n = len(x.n)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + x.text)), pa.array(x.number.astype(np.int32)), vec.signed(x.s1), vec.signed(x.s2()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
+            if found:
+                fine = np.bincount(np.concatenate(found), minlength=len(seen))
+                table += fine.reshape(len(table), -1).sum(axis=1)
+                seen += np.minimum(fine, 2).astype(np.uint8)
+                np.minimum(seen, 2, out=seen)
+        parts, marks = table.reshape(CHUNKS, -1), seen.reshape(CHUNKS, -1)
         some = np.flatnonzero(parts.any(axis=1))
         for k in np.array_split(some, max(1, len(some) // 16)):
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array([zlib.compress(parts[x].tobytes(), 1) for x in k], pa.binary())], ["chunk", "counts"])
+            n = len(k)
+            packed = [pa.array([zlib.compress(v[x].tobytes(), 1) for x in k], pa.binary()) for v in (parts, marks)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(k.astype(np.int32)), *packed], names)
+
+    return scratch.table(texts(docs).mapInArrow(run, SCAN), "line-scan")
+
+
+def word_tables(scan: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all words by the top bits of their hashes, and by more bits whether there were 0, 1 or more.
+
+    The tasks' chunks are added where they are dealt to, as a stream.  The
+    driver gets the sums, 24 MB for any input.
+    """
 
     def add(batches):
-        own: dict[int, np.ndarray] = {}
+        own: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(raw), np.int64)
-                own[k] = own[k] + part if k in own else part
-        for k, part in own.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["chunk", "counts"])
+            for k, *raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part, mark = (np.frombuffer(zlib.decompress(r), t) for r, t in zip(raw, (np.int64, np.uint8), strict=True))
+                own[k] = (own[k][0] + part, np.minimum(own[k][1] + mark, 2)) if k in own else (part, mark)
+        for k, (part, mark) in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([zlib.compress(mark.tobytes(), 1)], pa.binary())], ["chunk", "counts", "seen"])
 
-    parts = texts(docs).select("text").mapInArrow(count, "chunk int, counts binary").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
-    table = np.zeros((rows, CHUNK), np.int64)
-    for k, raw in parts.toLocalIterator():
-        table[k] = np.frombuffer(raw, np.int64)
-    return table.ravel()
+    table, seen = np.zeros((CHUNKS, (1 << TABLE_BITS) // CHUNKS), np.int64), np.zeros((CHUNKS, (1 << SEEN_BITS) // CHUNKS), np.uint8)
+    for k, part, mark in scan.where("chunk is not null").select("chunk", "counts", "seen").repartition("chunk").mapInArrow(add, "chunk int, counts binary, seen binary").toLocalIterator():
+        table[k], seen[k] = np.frombuffer(zlib.decompress(part), np.int64), np.frombuffer(zlib.decompress(mark), np.uint8)
+    return np.minimum(table.ravel(), (1 << 20) - 1).astype(np.int32), seen.ravel()
 
 
 class Lines:
     """Lines of a slice with at least MIN_WORDS distinct words: each one's distinct word hashes, rarest first if counts are given."""
 
-    def __init__(self, buf: np.ndarray, at: np.ndarray, counts: np.ndarray | None = None):
-        w = vec.words(buf, at)
+    def __init__(self, w: vec.Words, counts: np.ndarray | None = None):
         text, number = w.text, w.line()
         fresh = np.ones(len(text), bool)
         fresh[1:] = (text[1:] != text[:-1]) | (number[1:] != number[:-1])
@@ -99,21 +120,21 @@ class Lines:
         long = np.flatnonzero(size >= MIN_WORDS)
         word = np.repeat(head[long] - np.concatenate(([0], np.cumsum(size[long])[:-1])), size[long]) + np.arange(size[long].sum()) if len(long) else np.zeros(0, np.int64)
         h, line = w.hash[word], np.repeat(np.arange(len(long)), size[long])
-        common = np.minimum(counts[(h >> vec.U(64 - TABLE_BITS)).astype(np.int64)], (1 << 20) - 1).astype(vec.U) if counts is not None else np.zeros(len(h), vec.U)
+        common = counts[(h >> vec.U(64 - TABLE_BITS)).astype(np.int64)].astype(vec.U) if counts is not None else np.zeros(len(h), vec.U)
         if len(long) < 1 << 20:
             key = (line.astype(vec.U) << vec.U(44)) | (common << vec.U(24)) | (h & vec.U(0xFFFFFF))
             order = np.argsort(key)
             same = key[order[1:]] == key[order[:-1]]
         if len(long) >= 1 << 20 or (same & (h[order[1:]] != h[order[:-1]])).any():
             order = np.lexsort((h, h & vec.U(0xFFFFFF), common, line))  # the same order, ties of the short key resolved
-        h, line, common = h[order], line[order], common[order]
+        h, line = h[order], line[order]
         one = np.ones(len(h), bool)
         one[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-        h, line, common = h[one], line[one], common[one]
+        h, line = h[one], line[one]
         n = np.bincount(line, minlength=len(long))
         fine = n >= MIN_WORDS
         some = fine[line] if len(line) else np.zeros(0, bool)
-        self.h, self.common, self.n = h[some], common[some], n[fine]
+        self.h, self.n = h[some], n[fine]
         self.text, self.number = text[head[long]][fine], number[head[long]][fine]
         self.off = np.concatenate(([0], np.cumsum(self.n)))
         self.s1 = vec.sums(vec.mix(self.h, 1), self.off)
@@ -122,13 +143,14 @@ class Lines:
         return vec.sums(vec.mix(self.h, 2), self.off)
 
     def parity(self) -> tuple[np.ndarray, np.ndarray]:
-        """Per line, the exclusive or of one bit for each word."""
+        """Per line, the exclusive or of one bit for each word: of 128 for lines of more than LONG words, else of 64."""
         x = vec.mix(self.h, 3)
-        bit, side = vec.U(1) << (x & vec.U(63)), (x >> vec.U(6)) & vec.U(1)
+        bit = vec.U(1) << (x & vec.U(63))
+        right = ((x >> vec.U(6)) & vec.U(1) == 1) & np.repeat(self.n > LONG, self.n)
         zero = vec.U(0)
         if not len(self.n):
             return np.zeros(0, vec.U), np.zeros(0, vec.U)
-        return np.bitwise_xor.reduceat(np.where(side == 0, bit, zero), self.off[:-1]), np.bitwise_xor.reduceat(np.where(side == 1, bit, zero), self.off[:-1])
+        return np.bitwise_xor.reduceat(np.where(right, zero, bit), self.off[:-1]), np.bitwise_xor.reduceat(np.where(right, bit, zero), self.off[:-1])
 
 
 def needed(total: np.ndarray) -> np.ndarray:
@@ -141,26 +163,17 @@ def prefix(n: np.ndarray) -> np.ndarray:
     return n - -(-4 * n // 5) + 1
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, line, s1, s2)`` of all lines that take part: their places and 128-bit set hashes."""
-
-    def run(batches):
-        for batch in batches:
-            for lo, _, buf, at in vec.slices(batch.column(1)):
-                x = Lines(buf, at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + x.text)), pa.array(x.number.astype(np.int32)), vec.signed(x.s1), vec.signed(x.s2())], ["doc_id", "line", "s1", "s2"])
-
-    return texts(docs).mapInArrow(run, "doc_id bigint, line int, s1 bigint, s2 bigint")
-
-
-def postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    table = docs.sparkSession.sparkContext.broadcast(counts)
+def postings(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """A row per posted word: 40 bits of its hash (a collision only adds candidates), set size and place in the line as
+    one number, set hash, the line's place, and its parity."""
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
+        counts, seen = shared.value
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, buf, at in vec.slices(batch.column(1)):
-                x = Lines(buf, at, table.value)
+                x = Lines(vec.words(buf, at), counts)
                 # of equal sets within the batch, the earliest line posts
                 order = np.lexsort((x.number, ids[lo + x.text]))
                 _, first = np.unique(x.s1[order], return_index=True)
@@ -168,17 +181,36 @@ def postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 b0, b1 = x.parity()
                 p = prefix(x.n[mine])
                 word = np.repeat(x.off[mine] - np.concatenate(([0], np.cumsum(p)[:-1])), p) + np.arange(p.sum()) if len(mine) else np.zeros(0, np.int64)
-                some = x.common[word] > 1
+                some = seen[(x.h[word] >> vec.U(64 - SEEN_BITS)).astype(np.int64)] > 1
                 word, line = word[some], np.repeat(mine, p)[some]
-                yield pa.RecordBatch.from_arrays([vec.signed(x.h[word]), pa.array(x.n[line].astype(np.int32)), pa.array((word - x.off[line]).astype(np.int32)), vec.signed(x.s1[line]), pa.array(ids[lo + x.text[line]]), pa.array(x.number[line].astype(np.int32)), vec.signed(b0[line]), vec.signed(b1[line])], ["t", "n", "pos", "s1", "doc_id", "line", "b0", "b1"])
+                yield pa.RecordBatch.from_arrays([pa.array((x.h[word] & vec.U((1 << 40) - 1)).astype(np.int64)), pa.array((x.n[line] << 24) | (word - x.off[line])), vec.signed(x.s1[line]), pa.array(ids[lo + x.text[line]]), pa.array(x.number[line].astype(np.int32)), vec.signed(b0[line]), vec.signed(b1[line])], ["t", "np", "s1", "doc_id", "line", "b0", "b1"])
 
     return texts(docs).mapInArrow(run, POSTS)
 
 
-def survivors(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (later, earlier) of rows with equal ``t`` that pass the filters; rows are sorted by t, then n."""
+#: Survivors that are held before all but the earliest of each line and word are let go.
+HELD = 1 << 21
+
+
+def earliest(x: dict[str, np.ndarray], later: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The KEPT_PER_WORD earliest partners of each row, and which rows have lost some."""
+    order = np.lexsort((x["line"][earlier], x["doc_id"][earlier], later))
+    later, earlier = later[order], earlier[order]
+    first = np.flatnonzero(np.concatenate(([True], later[1:] != later[:-1])))
+    n = np.diff(np.append(first, len(later)))
+    early = np.arange(len(later)) - np.repeat(first, n) < KEPT_PER_WORD
+    return later[early], earlier[early], later[first[n > KEPT_PER_WORD]]
+
+
+def survivors(x: dict[str, np.ndarray], wanted=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (later, earlier) of rows with equal ``t`` that pass the filters, and whether the later one has more.
+
+    Rows are sorted by t, then n.  All pairs of ``wanted`` rows are kept if
+    these are given, else the earliest of each row.
+    """
     i = np.arange(len(x["t"]) - 1)
-    later, earlier = [], []
+    later, earlier, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    more = np.zeros(len(x["t"]), bool)
     step = 1
     while len(i):
         j = i + step
@@ -189,15 +221,28 @@ def survivors(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         pi, pj = x["pos"][i], x["pos"][j]
         least = needed(ni + nj)
         fine = np.minimum(ni - pi, nj - pj) + np.minimum(pi, pj) >= least  # positional filter
-        differ = np.bitwise_count(x["b0"][i] ^ x["b0"][j]).astype(np.int64) + np.bitwise_count(x["b1"][i] ^ x["b1"][j])
+        d0, d1 = x["b0"][i] ^ x["b0"][j], x["b1"][i] ^ x["b1"][j]
+        both = ni > LONG  # and so nj; else the shorter line has all its bits in b0
+        differ = np.where(both, np.bitwise_count(d0).astype(np.int64) + np.bitwise_count(d1), np.bitwise_count(d0 ^ d1))
         fine &= (differ <= ni + nj - 2 * least) & (x["s1"][i] != x["s1"][j])
         a, b = i[fine], j[fine]
         swap = (x["doc_id"][a] < x["doc_id"][b]) | ((x["doc_id"][a] == x["doc_id"][b]) & (x["line"][a] < x["line"][b]))
-        later.append(np.where(swap, b, a))
-        earlier.append(np.where(swap, a, b))
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        if wanted is not None:
+            a, b = a[wanted[a]], b[wanted[a]]
+        later.append(a)
+        earlier.append(b)
+        held += len(a)
+        if wanted is None and held > HELD:
+            a, b, lost = earliest(x, np.concatenate(later), np.concatenate(earlier))
+            more[lost] = True
+            later, earlier, held = [a], [b], 0
         step += 1
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *later]), np.concatenate([none, *earlier])
+    a, b = np.concatenate(later), np.concatenate(earlier)
+    if wanted is None and len(a):
+        a, b, lost = earliest(x, a, b)
+        more[lost] = True
+    return a, b, more[a]
 
 
 def collapsed(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -213,22 +258,15 @@ def collapsed(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def candidates(posts: DataFrame, among: vec.Bloom | None = None) -> DataFrame:
     """Surviving pairs per word: the earliest partner of each line and whether there are more, or all partners of lines in ``among``."""
-    names = ["t", "n", "pos", "s1", "doc_id", "line", "b0", "b1"]
+    names = ["t", "np", "s1", "doc_id", "line", "b0", "b1"]
 
     def pairs(batches):
-        x = collapsed({k: pa.concat_arrays([b.column(c) for b in batches]).to_numpy() for c, k in enumerate(names)})
+        x = {k: pa.concat_arrays([b.column(c) for b in batches]).to_numpy() for c, k in enumerate(names)}
+        x["n"], x["pos"] = x["np"] >> 24, x["np"] & 0xFFFFFF
+        x = collapsed(x)
         x["b0"], x["b1"] = x["b0"].view(vec.U), x["b1"].view(vec.U)
-        later, earlier = survivors(x)
-        more = np.zeros(len(later), bool)
-        if among is not None:
-            some = among.has(place(x["doc_id"][later], x["line"][later]))
-            later, earlier, more = later[some], earlier[some], more[some]
-        elif len(later):
-            order = np.lexsort((x["line"][earlier], x["doc_id"][earlier], later))
-            later, earlier = later[order], earlier[order]
-            first = np.concatenate(([True], later[1:] != later[:-1]))
-            more = np.diff(np.append(np.flatnonzero(first), len(later))) > KEPT_PER_WORD
-            later, earlier = later[first], earlier[first]
+        wanted = None if among is None else among.has(place(x["doc_id"], x["line"]))
+        later, earlier, more = survivors(x, wanted)
         return pa.RecordBatch.from_arrays([pa.array(v) for v in (x["doc_id"][later], x["line"][later], x["doc_id"][earlier], x["line"][earlier], more)], ["doc_id", "line", "e_doc", "e_line", "more"])
 
     def run(batches):
@@ -256,10 +294,10 @@ def place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
     return vec.mix(vec.mix(doc_id.astype(np.int64).view(vec.U), 7) + line.astype(np.int64).view(vec.U), 8)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``(doc_id, line)`` of lines with a partner in ``pairs`` at the threshold."""
     pairs = pairs.select("doc_id", "line", "e_doc", "e_line").distinct()
-    places = materialize(pairs.select(F.explode(F.array(F.struct("doc_id", "line"), F.struct(F.col("e_doc").alias("doc_id"), F.col("e_line").alias("line")))).alias("x")).select("x.doc_id", "x.line").distinct(), "line-places")
+    places = scratch.table(pairs.select(F.explode(F.array(F.struct("doc_id", "line"), F.struct(F.col("e_doc").alias("doc_id"), F.col("e_line").alias("line")))).alias("x")).select("x.doc_id", "x.line").distinct(), "line-places")
 
     def hashed(batches):
         for batch in batches:
@@ -271,12 +309,12 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, buf, at in vec.slices(batch.column(1)):
-                x = Lines(buf, at)
+                x = Lines(vec.words(buf, at))
                 some = np.flatnonzero(bloom.has(place(ids[lo + x.text], x.number)))
                 sets = [x.h[x.off[k] : x.off[k + 1]].view(np.int64) for k in some]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[lo + x.text[some]]), pa.array(x.number[some].astype(np.int32)), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "line", "s"])
 
-    sets = materialize(texts(docs).mapInArrow(run, "doc_id bigint, line int, s array<bigint>").join(places, ["doc_id", "line"], "left_semi"), "line-sets")
+    sets = scratch.table(texts(docs).mapInArrow(run, "doc_id bigint, line int, s array<bigint>").join(places, ["doc_id", "line"], "left_semi"), "line-sets")
     x = pairs.join(sets, ["doc_id", "line"]).join(sets.select(F.col("doc_id").alias("e_doc"), F.col("line").alias("e_line"), F.col("s").alias("es")), ["e_doc", "e_line"])
     both = F.size(F.array_intersect("s", "es"))
     return x.where(5 * both >= 4 * (F.size("s") + F.size("es") - both)).select("doc_id", "line").distinct()
@@ -284,12 +322,18 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def removed(docs: DataFrame) -> DataFrame:
     """``(doc_id, removed_lines)`` of documents that lose lines, numbered from 0."""
-    counts = word_table(docs)
-    posts = postings(docs, counts)
-    found = materialize(candidates(posts), "line-candidates")
-    near = materialize(verified(found, docs), "line-matches")
+    with Scratch(docs.sparkSession) as scratch:
+        return materialize(_removed(docs, scratch), "removed-lines")
+
+
+def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    scan = scanned(docs, scratch)
+    tables = word_tables(scan)
+    posts = postings(docs, tables)
+    found = scratch.table(candidates(posts), "line-candidates")
+    near = scratch.table(verified(found, docs, scratch), "line-matches")
     open_ = found.where("more").select("doc_id", "line").distinct().join(near, ["doc_id", "line"], "left_anti")
-    open_ = materialize(open_, "line-open")
+    open_ = scratch.table(open_, "line-open")
     if not open_.isEmpty():
 
         def hashed(batches):
@@ -297,8 +341,8 @@ def removed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([vec.signed(place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["h"])
 
         rest = candidates(posts, vec.bloom_of(open_.mapInArrow(hashed, "h bigint"), "h", 26)).join(open_, ["doc_id", "line"], "left_semi")
-        near = near.unionAll(verified(materialize(rest, "line-rest"), docs)).distinct()
-    every = materialize(lines(docs), "lines")
+        near = near.unionAll(verified(scratch.table(rest, "line-rest"), docs, scratch)).distinct()
+    every = scan.where("line is not null").select("doc_id", "line", "s1", "s2")
     # equal sets: all but the first; sets whose first line has an earlier match: that one too
     firsts = every.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
     hit = F.col("m_doc").isNotNull()
