@@ -15,7 +15,7 @@ then smaller line number) has a Jaccard similarity of at least ``THRESHOLD``.
    a parity of 64 or 128 bits of its words (no two sets differ in more bits than words)
    allow the threshold.  Of the survivors the ``KEPT_PER_WORD`` earliest per
    line and word go on; lines for which all of these fail verification, though
-   there were more, are joined again with all survivors.
+   there were more, are joined again with all survivors of their words.
 4. Survivors are verified by exact Jaccard over the words' 64-bit hashes.
 
 Defined results: lines of fewer than ``MIN_WORDS`` distinct words always stay,
@@ -163,9 +163,9 @@ def prefix(n: np.ndarray) -> np.ndarray:
     return n - -(-4 * n // 5) + 1
 
 
-def postings(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def postings(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], of: vec.Bloom | None = None, words: vec.Bloom | None = None) -> DataFrame:
     """A row per posted word: 40 bits of its hash (a collision only adds candidates), set size and place in the line as
-    one number, set hash, the line's place, and its parity."""
+    one number, set hash, the line's place, and its parity; only those of lines ``of``, or of ``words``, where given."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
@@ -182,7 +182,12 @@ def postings(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray]) -> DataFram
                 p = prefix(x.n[mine])
                 word = np.repeat(x.off[mine] - np.concatenate(([0], np.cumsum(p)[:-1])), p) + np.arange(p.sum()) if len(mine) else np.zeros(0, np.int64)
                 some = seen[(x.h[word] >> vec.U(64 - SEEN_BITS)).astype(np.int64)] > 1
-                word, line = word[some], np.repeat(mine, p)[some]
+                line = np.repeat(mine, p)
+                if of is not None:
+                    some &= of.has(place(ids[lo + x.text], x.number))[line]
+                if words is not None:
+                    some &= words.has(x.h[word] & vec.U((1 << 40) - 1))
+                word, line = word[some], line[some]
                 yield pa.RecordBatch.from_arrays([pa.array((x.h[word] & vec.U((1 << 40) - 1)).astype(np.int64)), pa.array((x.n[line] << 24) | (word - x.off[line])), vec.signed(x.s1[line]), pa.array(ids[lo + x.text[line]]), pa.array(x.number[line].astype(np.int32)), vec.signed(b0[line]), vec.signed(b1[line])], ["t", "np", "s1", "doc_id", "line", "b0", "b1"])
 
     return texts(docs).mapInArrow(run, POSTS)
@@ -340,7 +345,9 @@ def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([vec.signed(place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["h"])
 
-        rest = candidates(posts, vec.bloom_of(open_.mapInArrow(hashed, "h bigint"), "h", 26)).join(open_, ["doc_id", "line"], "left_semi")
+        of = vec.bloom_of(open_.mapInArrow(hashed, "h bigint"), "h", 26)
+        words = scratch.table(postings(docs, tables, of=of).select("t").distinct(), "line-words")
+        rest = candidates(postings(docs, tables, words=vec.bloom_of(words, "t", 26)), of).join(open_, ["doc_id", "line"], "left_semi")
         near = near.unionAll(verified(scratch.table(rest, "line-rest"), docs, scratch)).distinct()
     every = scan.where("line is not null").select("doc_id", "line", "s1", "s2")
     # equal sets: all but the first; sets whose first line has an earlier match: that one too
