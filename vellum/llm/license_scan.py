@@ -6,7 +6,9 @@ an *anchor* word are weighed: anchors are chosen so that a unit without any
 can't reach the threshold (by Cauchy and Schwarz the template's other words
 hold too little of its norm), so the filter loses nothing.  Words of a unit are
 joined to the templates' weights, a constant table of a few hundred rows, and
-summed per unit and template; only units with anchors are ever shuffled.
+summed per unit and template.  Before that a second exact filter drops units
+with too few template words among their words, so hardly anything but licence
+notices is ever shuffled.
 
 A file whose name says licence, or whose whole text is a template, declares
 its directory.  Files without a licence of their own take the nearest
@@ -113,14 +115,28 @@ def idf_table(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(w, idf)")
 
 
+def _dense(text: Column) -> Column:
+    """Whether a unit has enough words of the templates among all its words to reach the threshold.
+
+    With k occurrences of template words and n others, none of which weighs
+    less, the squared cosine to any template is at most k * k / (k * k + n); so
+    units that fail this are done with, exactly.
+    """
+    words = F.filter(F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1)), lambda w: ~w.isin(*STOP))
+    known = F.size(F.filter(words, lambda w: w.isin(*sorted(IDF))))
+    share = (THRESHOLD / 10000 - 1e-3) ** 2
+    return known * known * (1 - share) >= (F.size(words) - known) * share
+
+
 def units(docs: DataFrame) -> DataFrame:
-    """``(row, unit, whole, text)``: anchored lines, paragraphs of several lines, and whole licence files."""
+    """``(row, unit, whole, text)``: anchored lines, paragraphs of several lines, and whole texts, that can reach the threshold."""
     has = F.col("text").rlike(_ANCHOR)
     own = docs.where(has)
     none = F.lit(None).cast("string")
     paragraphs = F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda p: F.when(F.locate("\n", F.trim(p)) > 0, p).otherwise(none))
     listed = F.concat(F.transform(F.split("text", "\n"), lambda t: F.struct(F.lit(False).alias("whole"), t.alias("t"))), F.transform(paragraphs, lambda t: F.struct(F.lit(False).alias("whole"), t.alias("t"))), F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("t"))))
-    return own.select("row", F.posexplode(listed).alias("unit", "x")).select("row", "unit", "x.whole", F.col("x.t").alias("text")).where(F.col("text").rlike(_ANCHOR))
+    every = own.select("row", F.posexplode(listed).alias("unit", "x")).select("row", "unit", "x.whole", F.col("x.t").alias("text"))
+    return every.where(F.col("text").rlike(_ANCHOR)).where(_dense(F.col("text")))
 
 
 def cosines(docs: DataFrame) -> DataFrame:
