@@ -360,6 +360,15 @@ def test_toxicity(spark):
     assert toxicity.scored(documents(spark, []).limit(0), labels).count() == 0
 
 
+def test_long_spaced_runs_are_restored_whole(model):
+    """A toxic word beyond the 4,096th letter set apart is restored like one before."""
+    letters = "house" * 1000 + "moron" + "water" * 20
+    buf = np.frombuffer(" ".join(letters).encode(), np.uint8)
+    texts, found = toxicity.extra_words(toxicity.vec.words(buf, np.array([0, len(buf)])), model)
+    assert set(texts) == {0}
+    assert "".join(found).replace(" ", "") == letters
+
+
 # ---- pipeline ----
 
 

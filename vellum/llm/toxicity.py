@@ -193,7 +193,7 @@ def extra_words(w: vec.Words, model: np.ndarray) -> tuple[list[int], list[str]]:
     for a, b in _singles(w) if len(w.start) else ():
         for x, y in _within_texts(text, a, b):
             texts.append(x)
-            words.append(decode("".join(w.buf[w.start[k] : w.end[k]].tobytes().decode("utf-8", "replace") for k in y)[:4096], model))
+            words.append(decode("".join(w.buf[w.start[k] : w.end[k]].tobytes().decode("utf-8", "replace") for k in y), model))
     return texts, words
 
 
