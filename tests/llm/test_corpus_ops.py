@@ -364,9 +364,19 @@ def test_long_spaced_runs_are_restored_whole(model):
     """A toxic word beyond the 4,096th letter set apart is restored like one before."""
     letters = "house" * 1000 + "moron" + "water" * 20
     buf = np.frombuffer(" ".join(letters).encode(), np.uint8)
-    texts, found = toxicity.extra_words(toxicity.vec.words(buf, np.array([0, len(buf)])), model)
+    *_, texts, found = toxicity.extra_words(toxicity.vec.words(buf, np.array([0, len(buf)])), model)
     assert set(texts) == {0}
-    assert "".join(found).replace(" ", "") == letters
+    assert "".join(found) == letters
+
+
+@pytest.mark.parametrize("seen", ["s,t,u,p,i,d", "s\u200bt\u200bup\u200bid", "s'tu`pid", "s/t/u/p/i/d", "s:t;u^p\u00b7id", "stup\u00adid", "y o u s t u p i d", "a s t u p i d", "I s t u p i d", "h o u s e " * 900 + "s t u p i d"])
+def test_obfuscations_reach_the_lattice(model, seen):
+    """The toxic word is a feature, whatever splits its letters and whatever stands before them."""
+    lexicon = toxicity.Lexicon(toxicity.vec.mix(toxicity.vec.words(b := np.frombuffer(b"stupid", np.uint8), np.array([0, len(b)])).hash, 11), np.ones(1))
+    ((_, _, parts),) = toxicity.slices_of(toxicity.pa.array([seen]), model)
+    assert toxicity._evidence(lexicon, 1, parts)[0, 2] == 1
+    ((_, _, parts),) = toxicity.slices_of(toxicity.pa.array(["the house 4 5 5 t h e h o u s e"]), model)
+    assert toxicity._evidence(lexicon, 1, parts)[0, 2] == 0
 
 
 # ---- pipeline ----

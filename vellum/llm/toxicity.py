@@ -1,12 +1,15 @@
 """Toxicity with noisy-channel deobfuscation.
 
 1. A character trigram model is counted over the words of all documents.
-2. Words that mix letters with look-alike digits or signs, runs of single
-   letters set apart, and letters repeated three times or more are decoded: a
-   lattice offers for each sign the letters it may stand for, or nothing; the
-   Viterbi path that the channel and the character model like best is the
-   restored text.  Plain words have one path, themselves.
-3. Restored words and their beginnings of 3 to 6 bytes are features.  Weights
+2. Words that mix letters with any sign that the lattice can replace or drop,
+   runs of single letters set apart, and letters repeated three times or more
+   are decoded: a lattice offers for each sign the letters it may stand for, or
+   nothing, and in runs of single letters also the end of a word; the Viterbi
+   path that the channel and the character model like best is the restored
+   text.  Plain words have one path, themselves.
+3. Restored words and their beginnings of 3 to 6 bytes are features; where a
+   run of single letters leaves open how it splits, each of its letters may begin
+   a word and each of the SPAN bytes after it may end one.  Weights
    are log odds between toxic and other documents of one half of a labelled
    sample; the other half fits the logistic function that turns a document's
    strongest weights into a score.
@@ -39,6 +42,8 @@ SAMPLE = 10_000
 #: A feature needs so many toxic documents of its half, and log odds of at least this.
 LEAST, ODDS = 3, 2.0
 PREFIXES = (3, 4, 5, 6)
+#: Longest whole word looked up within a run of single letters; longer ones show by their beginnings.
+SPAN = 32
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßàâçéèêëîïôùûñáíóúœæ"
 #: Letters that a digit or sign may stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou", "#": "aeiou"}
@@ -111,8 +116,8 @@ def _id(c: str) -> int:
     return int(_IDS[ord(c)]) if len(c) == 1 and ord(c) < 0x250 else 1
 
 
-def decode(observed: str, model: np.ndarray) -> str:
-    """The best path through the lattice of an observed word."""
+def decode(observed: str, model: np.ndarray, breaks: bool = False) -> str:
+    """The best path through the lattice of an observed word; with ``breaks``, of words whose limits are unknown."""
     # state: the last two letters' ids and the last observed letter's run
     best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     previous, run = "", 0
@@ -132,6 +137,11 @@ def decode(observed: str, model: np.ndarray) -> str:
                     key, s, p = (a, b), score - cost, path
                 if key not in new or s > new[key][0]:
                     new[key] = (s, p)
+        if breaks:
+            for (a, b), (score, path) in list(new.items()):
+                key, s = (b, 0), score + float(model[a, b, 0])
+                if b and (key not in new or s > new[key][0]):
+                    new[key] = (s, (path, " "))
         best = new
     end = max(((score + float(model[a, b, 0]), path) for (a, b), (score, path) in best.items()), key=lambda x: x[0])[1]
     out = []
@@ -151,50 +161,73 @@ def restored(word: str, model: np.ndarray) -> str:
     return "".join(decode(core[k : k + 256], model) for k in range(0, len(core), 256))
 
 
+@functools.cache
+def _alphabetic() -> np.ndarray:
+    """Which code points are letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def _foreign(buf: np.ndarray) -> np.ndarray:
+    """Which bytes belong to characters beyond ASCII that are no letters."""
+    lead = np.flatnonzero(buf >= 0xC0)
+    size = 2 + (buf[lead] >= 0xE0) + (buf[lead] >= 0xF0)
+    code = buf[lead].astype(np.int64) & (0x7F >> size)
+    for k in range(1, 4):
+        code = np.where(size > k, code << 6 | buf[np.minimum(lead + k, len(buf) - 1)] & 0x3F, code)
+    other = ~_alphabetic()[np.minimum(code, 0x10FFFF)]
+    out = np.zeros(len(buf), bool)
+    for k in range(4):
+        out[np.minimum(lead + k, len(buf) - 1)[other & (size > k)]] = True
+    return out
+
+
 def suspicious(w: vec.Words) -> np.ndarray:
     """Which words of a slice need decoding; see the module's text."""
     buf = w.buf
     if not len(w.start):
         return np.zeros(0, bool)
-    letter = ((buf | 32) >= 97) & ((buf | 32) <= 122) | (buf >= 0x80)
-    sign = np.zeros(256, bool)
-    sign[[ord(c) for c in LOOKS if ord(c) < 128] + [ord(c) for c in ".-_~"]] = True
+    foreign = _foreign(buf)
+    letter = ((buf | 32) >= 97) & ((buf | 32) <= 122) & (buf < 0x80) | (buf >= 0x80) & ~foreign
+    sign = ~letter & (buf > 32)
     low = buf | 32
     triple = np.zeros(len(buf), bool)
     triple[2:] = letter[2:] & (buf[2:] < 0x80) & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
     within = lambda flag: (lambda c: c[w.end] - c[w.start])(np.concatenate(([0], np.cumsum(flag))))
     letters = within(letter)
-    # a sign counts if a letter follows it in the word, or it is a digit after one
+    # a sign counts if a letter follows it in the word, or it looks like a letter and is after one
     follows = np.zeros(len(buf), bool)
-    follows[:-1] = sign[buf[:-1]] & letter[1:]
-    digit = np.zeros(len(buf), bool)
-    digit[1:] = (buf[1:] >= 48) & (buf[1:] <= 57) & letter[:-1]
-    edge = np.zeros(len(buf), bool)  # a dollar or at sign after a letter
-    edge[1:] = np.isin(buf[1:], [36, 64]) & letter[:-1]
-    return (letters > 0) & ((within(follows) > 0) | (within(digit) > 0) | (within(edge) > 0) | (within(triple) > 0))
+    follows[:-1] = sign[:-1] & letter[1:]
+    looks = np.zeros(len(buf), bool)
+    looks[1:] = np.isin(buf[1:], [ord(c) for c in LOOKS if ord(c) < 128]) & letter[:-1]
+    return (letters > 0) & ((within(follows) > 0) | (within(looks) > 0) | (within(foreign) > 0) | (within(triple) > 0))
 
 
 def _singles(w: vec.Words) -> np.ndarray:
     """Starts of runs of three or more words of one character, and the runs' lengths."""
-    n = w.end - w.start
-    one = (n == 1) | ((n == 2) & (w.buf[w.start] >= 0xC3))
+    begun = np.concatenate(([0], np.cumsum((w.buf & 0xC0) != 0x80)))
+    one = begun[w.end] - begun[w.start] == 1
     edge = np.diff(np.concatenate(([0], one.astype(np.int8), [0])))
     edge_start, edge_end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     return np.array([(a, b) for a, b in zip(edge_start, edge_end, strict=True) if b - a >= 3], np.int64).reshape(-1, 2)
 
 
-def extra_words(w: vec.Words, model: np.ndarray) -> tuple[list[int], list[str]]:
-    """(text, restored word) of all obfuscations in a slice."""
-    texts, words = [], []
+def extra_words(w: vec.Words, model: np.ndarray) -> tuple[list[int], list[str], list[int], list[str]]:
+    """(text, restored word) of all obfuscations in a slice, and (text, restored run) of letters set apart."""
+    texts, words, owners, runs = [], [], [], []
     text = w.text
     for k in np.flatnonzero(suspicious(w)):
         texts.append(int(text[k]))
         words.append(restored(w.buf[w.start[k] : w.end[k]].tobytes().decode("utf-8", "replace"), model))
     for a, b in _singles(w) if len(w.start) else ():
         for x, y in _within_texts(text, a, b):
-            texts.append(x)
-            words.append(decode("".join(w.buf[w.start[k] : w.end[k]].tobytes().decode("utf-8", "replace") for k in y), model))
-    return texts, words
+            run = "".join(w.buf[w.start[k] : w.end[k]].tobytes().decode("utf-8", "replace") for k in y)
+            if any(map(str.isalpha, run)):
+                owners.append(x)
+                runs.append(decode(run, model, breaks=True).replace(" ", ""))
+            else:  # digits of a table, as one word
+                texts.append(x)
+                words.append(decode(run, model))
+    return texts, words, owners, runs
 
 
 def _within_texts(text: np.ndarray, a: int, b: int):
@@ -217,21 +250,49 @@ def _features(w: vec.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(h)
 
 
+def _features_within(w: vec.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, position, feature hash) of all that words of unknown limits may hold, at every position."""
+    n = w.end - w.start
+    word = np.repeat(np.arange(len(n)), n)
+    start = np.arange(len(word)) - np.repeat(np.cumsum(n) - n - w.start, n)
+    begins = (w.buf[start] & 0xC0) != 0x80
+    word, start = word[begins], start[begins]
+    left = w.end[word] - start
+    at, h = [], []
+    for k in range(1, SPAN + 1):
+        some = np.flatnonzero(left >= k)
+        at.append(some)
+        h.append(vec.mix(vec.spans(w.value, start[some], start[some] + k), 11))
+    for k in PREFIXES:
+        some = np.flatnonzero(left > k)
+        at.append(some)
+        h.append(vec.mix(vec.spans(w.value, start[some], start[some] + k), 20 + k))
+    return word, np.concatenate(at), np.concatenate(h)
+
+
+def _restored_words(texts: list[int], words: list[str]) -> tuple[np.ndarray, vec.Words]:
+    """Restored words as one slice, and the texts they belong to; those that came out empty vanish."""
+    pairs = [(t, x) for t, x in zip(texts, words, strict=True) if x]
+    (_, _, buf, at), *more = vec.slices(pa.array([" ".join(x for _, x in pairs)]))
+    assert not more
+    r = vec.words(buf, at, vec.FOLDED)
+    return np.array([t for t, _ in pairs], np.int64), r
+
+
 def slices_of(column: pa.Array, model: np.ndarray):
     """(first text, end, list of (texts of words, words, features)) of a column: plain words, then restored ones."""
     for lo, hi, buf, at in vec.slices(column):
         plain = vec.words(buf, at)
         w = vec.words(buf, at, vec.FOLDED)
         parts = [(w.text, *_features(w))]
-        texts, words = extra_words(plain, model)
-        if words:
-            (_, _, buf2, at2), *more = vec.slices(pa.array([" ".join(words)]))
-            assert not more
-            # words that came out empty vanish in the joined text
-            r = vec.words(buf2, at2, vec.FOLDED)
-            owner = np.array([t for t, x in zip(texts, words, strict=True) for _ in x.split()], np.int64)
-            if len(owner) == len(r.start):
-                parts.append((owner, *_features(r)))
+        texts, words, owners, runs = extra_words(plain, model)
+        if any(words):
+            owner, r = _restored_words(texts, words)
+            parts.append((owner, *_features(r)))
+        if any(runs):
+            owner, r = _restored_words(owners, runs)
+            word, at, h = _features_within(r)
+            parts.append((owner[word], at, h))
         yield lo, hi, parts
 
 
