@@ -179,6 +179,17 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(documents(spark, []).limit(0), benchmark).count() == 0
 
 
+def test_decontamination_with_values_that_fall_together(spark):
+    """Unit plurals are one value, and two values of the item may meet the same one of the document."""
+    item = "the slow train waits 1 hour at the old bridge and then waits another 2 hours near the small harbour before it leaves for 3 days"
+    moved = item.replace("1 hour ", "3 hours ").replace("2 hours", "4 hours")
+    less = item.replace("1 hour ", "9 hours ").replace("2 hours", "1 hour")
+    equal = item.replace("1 hour ", "7 hour ").replace("2 hours", "7 hours")
+    benchmark = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    rows = decontaminate.contaminated(documents(spark, [item, moved, less, equal]), benchmark).collect()
+    assert sorted((r.doc_id, r.exact) for r in rows) == [(0, True), (1, False), (2, False), (3, False)]
+
+
 # ---- quality rules ----
 
 

@@ -3,12 +3,13 @@
 Words are lower-cased and stripped of ASCII punctuation at their ends.  Words
 with a digit and number words become the placeholder of numbers, words after a
 number that name a unit that of units, and capitalised words inside a sentence
-that of names; the placeholder's value is kept beside it.  Windows of WIDTH
+that of names; the placeholder's value is kept beside it, units in the
+singular.  Windows of WIDTH
 template words of documents and of benchmark items are hash-joined.  A run of
 matches counts only if its slots are consistent: equal values in the item meet
-equal values in the document and the other way round.  So a copied question
-counts, as does one whose numbers and names are exchanged throughout, but not
-text that shares a frame and fills it at random.
+equal values in the document.  So a copied question counts, as does one whose
+numbers and names are exchanged throughout, two of them for the same one too,
+but not text that shares a frame and fills one value's places at random.
 
 A document is contaminated by an item if consistent windows cover NEEDED words
 of it, or all of an item that is shorter.
@@ -33,7 +34,9 @@ from .shared import Scratch, materialize
 WIDTH, NEEDED, LEAST, PLAIN_WORDS = 8, 13, 8, 4
 NUMBER, UNIT, NAME = 1, 2, 3
 NUMBERS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million billion zwei drei vier fünf sechs sieben acht neun zehn elf zwölf hundert tausend deux trois quatre cinq sept huit neuf dix onze douze cent mille dos tres cuatro cinco seis siete ocho nueve diez cien mil".split()
-UNITS = "kg g mg lb lbs oz km m cm mm mi mile miles meter meters metre metres foot feet inch inches yard yards l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent kmh mph kwh watt watts volt volts degree degrees celsius fahrenheit jahr jahre tag tage stunde stunden ans jours heures años días horas".split()
+UNITS = "kg g mg lb lbs oz km m cm mm mi mile miles meter meters metre metres foot feet inch inches yard yards l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent kmh mph kwh watt watts volt volts degree degrees celsius fahrenheit jahr jahre tag tage stunde stunden an ans jour jours heure heures año años día días hora horas".split()
+#: Units by their plurals.
+PLURALS = {u: x for u in UNITS for x in (u[:-1],) if u.endswith("s") and x in UNITS and len(x) > 1} | {"feet": "foot", "inches": "inch", "jahre": "jahr", "tage": "tag", "stunden": "stunde"}
 
 MATCH_SCHEMA = "id bigint, t bigint, at int, slots array<bigint>"
 
@@ -43,12 +46,14 @@ _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:;"]] = True
 
 
-def _hashes(listed: list[str]) -> np.ndarray:
+def _hashed(listed: list[str]) -> np.ndarray:
     column = pa.array([" ".join(listed)])
-    return np.sort(np.concatenate([vec.words(buf, at, vec.FOLDED).hash for _, _, buf, at in vec.slices(column)]))
+    return np.concatenate([vec.words(buf, at, vec.FOLDED).hash for _, _, buf, at in vec.slices(column)])
 
 
-_NUMBERS, _UNITS = _hashes(NUMBERS), _hashes(UNITS)
+_NUMBERS, _UNITS = np.sort(_hashed(NUMBERS)), np.sort(_hashed(UNITS))
+_PLURALS, _SINGULARS = _hashed(list(PLURALS)), _hashed(list(PLURALS.values()))
+_PLURALS, _SINGULARS = np.sort(_PLURALS), _SINGULARS[np.argsort(_PLURALS)]
 _HOLDERS = vec.mix(np.arange(4, dtype=vec.U), 77)
 
 
@@ -56,6 +61,13 @@ def _among(h: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h
 
 
+def _values(w: vec.Words, kind: np.ndarray) -> np.ndarray:
+    """What a slot holds: the word and its kind, units in the singular."""
+    at = np.minimum(np.searchsorted(_PLURALS, w.hash), len(_PLURALS) - 1)
+    h = np.where((kind == UNIT) & (_PLURALS[at] == w.hash), _SINGULARS[at], w.hash)
+    return (vec.mix(h, 5) + kind.astype(vec.U)).view(np.int64)
+
+
 def canonical(w: vec.Words) -> tuple[np.ndarray, np.ndarray]:
     """Kinds of a slice's words (0 plain) and template hashes."""
     kind = np.zeros(len(w.hash), np.int8)
@@ -102,7 +114,7 @@ def windows(rows: DataFrame, width: int = WIDTH, bloom: vec.Bloom | None = None)
                 if not len(t):
                     continue
                 text = np.searchsorted(w.off, first, "right") - 1
-                value = (vec.mix(w.hash, 5) + kind.astype(vec.U)).view(np.int64)
+                value = _values(w, kind)
                 slots = [value[f : f + width][kind[f : f + width] > 0] for f in first]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(lo + text)), vec.signed(t), pa.array((first - w.off[text]).astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))], ["id", "t", "at", "slots"])
 
@@ -134,8 +146,8 @@ def _contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> Da
     run = ["doc_id", "item_id", "offset"]
     met = met.withColumn("offset", F.col("at") - F.col("item_at"))
     slots = met.where(F.size("slots") > 0).select(*run, F.explode(F.arrays_zip("slots", "item_slots")).alias("x")).distinct()
-    slots = slots.groupBy(*run).agg(F.count("*").alias("n"), F.count_distinct("x.slots").alias("nd"), F.count_distinct("x.item_slots").alias("ni"), F.min((F.col("x.slots") == F.col("x.item_slots")).cast("int")).alias("same"))
-    runs = met.select(*run, "item_at").distinct().join(slots, run, "left").where("n is null or (n = nd and n = ni)")
+    slots = slots.groupBy(*run).agg(F.count("*").alias("n"), F.count_distinct("x.item_slots").alias("ni"), F.min((F.col("x.slots") == F.col("x.item_slots")).cast("int")).alias("same"))
+    runs = met.select(*run, "item_at").distinct().join(slots, run, "left").where("n is null or n = ni")
     sizes = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"))
     found = runs.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"), F.sort_array(F.collect_set("item_at")).alias("places"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
     # words under the union of the windows: an item has a bounded number of places
