@@ -190,6 +190,18 @@ def test_decontamination_with_values_that_fall_together(spark):
     assert sorted((r.doc_id, r.exact) for r in rows) == [(0, True), (1, False), (2, False), (3, False)]
 
 
+def test_decontamination_of_items_without_plain_windows(spark):
+    """Arithmetic, Title Case and short items are found where a document holds them verbatim."""
+    items = ["What is 12 + 7 - 3 * 5 + 88 / 4 - 6 + 19 ?", "Which Old King Of Northern Wessex Fought The Danes Near Ashdown Hill", "2 + 2 = ?", "Who wrote Faust", "Alice likes to walk her small dogs at night"]
+    around = lambda t: f"before that we read quietly {t} and then we went on"
+    texts = [around(t) for t in items] + [around("2 2"), around("2 - 2"), around("who else wrote Faust"), around("What is 12 + 7 - 3 * 5 + 88 / 4 - 6 + 20 ?"), items[2]]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = decontaminate.contaminated(documents(spark, texts), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (9, 2)]
+    assert all(r.exact for r in rows if r.item_id != 4)
+    assert {r.item_id: r.n_words for r in rows}[3] == 3
+
+
 # ---- quality rules ----
 
 

@@ -11,11 +11,16 @@ equal values in the document.  So a copied question counts, as does one whose
 numbers and names are exchanged throughout, two of them for the same one too,
 but not text that shares a frame and fills one value's places at random.
 
-A document is contaminated by an item if consistent windows cover NEEDED words
-of it, or all of an item that is shorter.
+Windows of fewer than PLAIN_WORDS plain words say too little as templates.
+They, and the first of an item, whose words' kinds depend on what precedes it,
+are matched by their very words, whatever the slots of others.  An item of
+fewer than WIDTH words is matched as a whole, by its words and the signs
+between them; so an item of one word contaminates every document with it.
 
-Defined results: null and empty texts match nothing, nor do items of fewer than
-LEAST words; windows of fewer than PLAIN_WORDS plain words are not evidence;
+A document is contaminated by an item if matched windows cover NEEDED words of
+it, or all of an item that is shorter, or all its windows that are templates.
+
+Defined results: null and empty texts match nothing, nor do texts without words;
 rows that repeat a doc_id or item_id count as one document or item, rows of a
 null id match nothing; an empty table gives an empty result; other columns
 aren't read.
@@ -31,14 +36,15 @@ from pyspark.sql import functions as F
 from . import vec
 from .shared import Scratch, materialize
 
-WIDTH, NEEDED, LEAST, PLAIN_WORDS = 8, 13, 8, 4
+WIDTH, NEEDED, PLAIN_WORDS = 8, 13, 4
 NUMBER, UNIT, NAME = 1, 2, 3
 NUMBERS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million billion zwei drei vier fünf sechs sieben acht neun zehn elf zwölf hundert tausend deux trois quatre cinq sept huit neuf dix onze douze cent mille dos tres cuatro cinco seis siete ocho nueve diez cien mil".split()
 UNITS = "kg g mg lb lbs oz km m cm mm mi mile miles meter meters metre metres foot feet inch inches yard yards l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years usd eur dollar dollars euro euros cent cents percent kmh mph kwh watt watts volt volts degree degrees celsius fahrenheit jahr jahre tag tage stunde stunden an ans jour jours heure heures año años día días hora horas".split()
 #: Units by their plurals.
 PLURALS = {u: x for u in UNITS for x in (u[:-1],) if u.endswith("s") and x in UNITS and len(x) > 1} | {"feet": "foot", "inches": "inch", "jahre": "jahr", "tage": "tag", "stunden": "stunde"}
 
-MATCH_SCHEMA = "id bigint, t bigint, at int, slots array<bigint>"
+#: exact: by the very words; strong: the window is a template, too; width: the words it has.
+MATCH_SCHEMA = "id bigint, t bigint, at int, slots array<bigint>, exact boolean, strong boolean, width int"
 
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
@@ -90,33 +96,66 @@ def canonical(w: vec.Words) -> tuple[np.ndarray, np.ndarray]:
     return kind, np.where(kind > 0, _HOLDERS[kind], w.hash)
 
 
-def _windows(column: pa.Array, width: int):
-    """(first text, words, kinds, window hashes, first word of each) of slices; windows of too few plain words are left out."""
-    for lo, _, buf, at in vec.slices(column):
-        w = vec.words(buf, at, vec.FOLDED)
-        kind, h = canonical(w)
-        t, _, first = vec.windows(h, w.off, width, short=False)
-        plain = np.concatenate(([0], np.cumsum(kind == 0)))
-        fine = plain[first + width] - plain[first] >= PLAIN_WORDS
-        yield lo, w, kind, t[fine], first[fine]
+def _very_words(w: vec.Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all stretches of ``width`` words by their very words, and the first word of each; below WIDTH with the signs between them."""
+    t, _, first = vec.windows(w.hash, w.off, width, short=False)
+    if width < WIDTH and len(first):
+        solid = np.flatnonzero((w.buf != 32) & ((w.buf < 9) | (w.buf > 13)))
+        start, end = np.searchsorted(solid, w.start), np.searchsorted(solid, w.end)
+        signs = vec.spans(vec.PLAIN[w.buf[solid]], end[:-1], start[1:])
+        for j in range(width - 1):
+            t = t + vec.mix(signs[first + j], 100 + j)
+    return vec.mix(t, 200 + width), first
 
 
-def windows(rows: DataFrame, width: int = WIDTH, bloom: vec.Bloom | None = None) -> DataFrame:
-    """``rows(id, text)`` to ``(id, t, at, slots)``: template hash, place, and values of the slots in order."""
+def windows(rows: DataFrame, bloom: vec.Bloom | None = None, widths: tuple[int, ...] = ()) -> DataFrame:
+    """``rows(id, text)`` to MATCH_SCHEMA: hash, place, and values of the slots in order.
+
+    Without ``bloom``, of benchmark items; with it, of documents, also by the
+    very words of ``widths`` words, which come once for each text.
+    """
+
+    def parts(w: vec.Words):
+        kind, h = canonical(w)
+        t, _, first = vec.windows(h, w.off, WIDTH, short=False)
+        plain = np.concatenate(([0], np.cumsum(kind == 0)))
+        strong = plain[first + WIDTH] - plain[first] >= PLAIN_WORDS
+        value = _values(w, kind)
+        yield t[strong], first[strong], lambda f: value[f : f + WIDTH][kind[f : f + WIDTH] > 0], False, strong[strong], WIDTH
+        none = lambda f: value[:0]
+        if bloom is not None:
+            for width in widths:
+                x, at = _very_words(w, width)
+                yield x, at, none, True, np.zeros(len(x), bool), width
+            return
+        x, at = _very_words(w, WIDTH)
+        some = ~strong | np.isin(at, w.off[:-1])
+        yield x[some], at[some], none, True, strong[some], WIDTH
+        for width in np.unique(w.n[(w.n > 0) & (w.n < WIDTH)]).tolist():
+            x, at = _very_words(w, width)
+            some = np.isin(at, w.off[:-1][w.n == width])
+            yield x[some], at[some], none, True, np.zeros(some.sum(), bool), width
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
-            for lo, w, kind, t, first in _windows(batch.column(1), width):
-                if bloom is not None and len(t):
-                    some = bloom.has(t)
-                    t, first = t[some], first[some]
-                if not len(t):
-                    continue
-                text = np.searchsorted(w.off, first, "right") - 1
-                value = _values(w, kind)
-                slots = [value[f : f + width][kind[f : f + width] > 0] for f in first]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(lo + text)), vec.signed(t), pa.array((first - w.off[text]).astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))], ["id", "t", "at", "slots"])
+            for lo, _, buf, at in vec.slices(batch.column(1)):
+                w = vec.words(buf, at, vec.FOLDED)
+                for t, first, slots, exact, strong, width in parts(w):
+                    if bloom is not None and len(t):
+                        some = bloom.has(t)
+                        t, first, strong = t[some], first[some], strong[some]
+                    text = np.searchsorted(w.off, first, "right") - 1
+                    if bloom is not None and exact and len(t):
+                        order = np.lexsort((t, text))
+                        t, first, strong, text = t[order], first[order], strong[order], text[order]
+                        one = np.concatenate(([True], (t[1:] != t[:-1]) | (text[1:] != text[:-1])))
+                        t, first, strong, text = t[one], first[one], strong[one], text[one]
+                    if not len(t):
+                        continue
+                    columns = [vec.signed(t), pa.array((first - w.off[text]).astype(np.int32)), pa.array([slots(f) for f in first], pa.list_(pa.int64()))]
+                    columns += [pa.array(np.full(len(t), exact)), pa.array(strong), pa.array(np.full(len(t), width, np.int32))]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(lo + text)), *columns], ["id", "t", "at", "slots", "exact", "strong", "width"])
 
     return rows.where("id is not null").mapInArrow(run, MATCH_SCHEMA)
 
@@ -139,21 +178,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
     items = scratch.table(windows(_texts(benchmark, "item_id")).distinct(), "benchmark-windows")
-    hits = windows(_texts(docs, "doc_id"), bloom=vec.bloom_of(items, "t", 24))
-    i = items.select(F.col("id").alias("item_id"), "t", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
-    met = scratch.table(hits.join(i, "t").select(F.col("id").alias("doc_id"), "item_id", "at", "item_at", "slots", "item_slots"), "benchmark-matches")
-
-    run = ["doc_id", "item_id", "offset"]
-    met = met.withColumn("offset", F.col("at") - F.col("item_at"))
+    widths = tuple(r[0] for r in items.where("exact").select("width").distinct().collect())  # WIDTH at most
+    hits = windows(_texts(docs, "doc_id"), bloom=vec.bloom_of(items, "t", 24), widths=widths).select("id", "t", "at", "slots", F.col("exact").alias("doc_exact"), F.col("width").alias("doc_width"))
+    i = items.select(F.col("id").alias("item_id"), "t", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "exact", "strong", "width")
+    both = hits.join(i, "t").where((F.col("doc_exact") == F.col("exact")) & (F.col("doc_width") == F.col("width")))
+    met = scratch.table(both.select(F.col("id").alias("doc_id"), "item_id", "at", "item_at", "slots", "item_slots", "exact", "strong", "width"), "benchmark-matches")
+
+    run, place = ["doc_id", "item_id", "offset"], ["doc_id", "item_id", "item_at", "strong", "width"]
+    very = met.where("exact").select(*place, F.lit(1).alias("same"))
+    met = met.where(~F.col("exact")).withColumn("offset", F.col("at") - F.col("item_at"))
     slots = met.where(F.size("slots") > 0).select(*run, F.explode(F.arrays_zip("slots", "item_slots")).alias("x")).distinct()
     slots = slots.groupBy(*run).agg(F.count("*").alias("n"), F.count_distinct("x.item_slots").alias("ni"), F.min((F.col("x.slots") == F.col("x.item_slots")).cast("int")).alias("same"))
-    runs = met.select(*run, "item_at").distinct().join(slots, run, "left").where("n is null or n = ni")
-    sizes = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"))
-    found = runs.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"), F.sort_array(F.collect_set("item_at")).alias("places"), F.min(F.coalesce("same", F.lit(1))).alias("same"))
+    runs = met.select(*run, "item_at", "strong", "width").distinct().join(slots, run, "left").where("n is null or n = ni").select(*place, F.coalesce("same", F.lit(1)).alias("same")).unionByName(very)
+    templates = lambda at: F.count_distinct(F.when(F.col("strong"), F.col(at)))
+    sizes = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"), templates("at").alias("item_templates"))
+    found = runs.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"), templates("item_at").alias("n_templates"), F.sort_array(F.collect_set(F.struct("item_at", "width"))).alias("places"), F.min("same").alias("same"))
     # words under the union of the windows: an item has a bounded number of places
-    covered = F.aggregate("places", F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto")), lambda a, p: F.struct((a["n"] + WIDTH - F.greatest(a["upto"] - p, F.lit(0))).alias("n"), (p + WIDTH).alias("upto")))["n"]
+    covered = F.aggregate("places", F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto")), lambda a, p: F.struct((a["n"] + p["width"] - F.greatest(a["upto"] - p["item_at"], F.lit(0))).alias("n"), (p["item_at"] + p["width"]).alias("upto")))["n"]
     found = found.withColumn("n_words", covered.cast("bigint")).join(sizes, "item_id")
-    return found.where((F.col("n_words") >= NEEDED) | (F.col("n_windows") >= F.col("item_windows"))).select("doc_id", "item_id", "n_windows", "item_windows", "n_words", (F.col("same") == 1).alias("exact"))
+    whole = (F.col("n_windows") >= F.col("item_windows")) | ((F.col("item_templates") > 0) & (F.col("n_templates") >= F.col("item_templates")))
+    return found.where((F.col("n_words") >= NEEDED) | whole).select("doc_id", "item_id", "n_windows", "item_windows", "n_words", (F.col("same") == 1).alias("exact"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
