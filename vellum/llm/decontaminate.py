@@ -5,9 +5,11 @@ with a digit and number words become the placeholder of numbers, words after a
 number that name a unit that of units, and capitalised words inside a sentence
 that of names; the placeholder's value is kept beside it, units in the
 singular.  Windows of WIDTH
-template words of documents and of benchmark items are hash-joined.  A run of
-matches counts only if its slots are consistent: equal values in the item meet
-equal values in the document.  So a copied question counts, as does one whose
+template words of documents and of benchmark items are hash-joined.  Of a run
+of matches (one document, item and offset) the longest stretch counts whose
+slots are consistent: equal values in the item meet equal values in the
+document; so do windows with the item's own values, wherever they lie.  So a
+copied question counts, even where a value in it is changed, as does one whose
 numbers and names are exchanged throughout, two of them for the same one too,
 but not text that shares a frame and fills one value's places at random.
 
@@ -164,6 +166,38 @@ def _texts(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(rows[key].cast("bigint").alias("id"), rows["text"].cast("string").alias("text"))
 
 
+def stretch(windows: list[dict]) -> list[dict]:
+    """Of a run's windows in order of place, the longest consistent stretch and all with the item's own values."""
+    pairs = [list(zip(w["item_slots"], w["slots"], strict=True)) for w in windows]
+    best, lo = (0, 0, 0), 0
+    held: dict[int, dict[int, int]] = {}
+    for hi, new in enumerate(pairs):
+        for x, y in new:
+            of = held.setdefault(x, {})
+            of[y] = of.get(y, 0) + 1
+        while any(len(held[x]) > 1 for x, _ in new):  # at worst until nothing is left
+            for x, y in pairs[lo]:
+                held[x][y] -= 1
+                if not held[x][y]:
+                    del held[x][y]
+            lo += 1
+        if hi >= lo and (words := windows[hi]["item_at"] - windows[lo]["item_at"]) + 1 > best[0]:
+            best = words + 1, lo, hi + 1
+    return [w for k, w in enumerate(windows) if best[1] <= k < best[2] or w["slots"] == w["item_slots"]]
+
+
+def _stretches(batches):
+    for batch in batches:
+        out = []
+        for doc, item, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            some = stretch(windows)
+            same = int(all(w["slots"] == w["item_slots"] for w in some))
+            out += [(doc, item, w["item_at"], w["strong"], w["width"], same) for w in some]
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "item_at", "strong", "width", "same"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, n_windows, item_windows, n_words, exact)`` of all contaminated documents.
 
@@ -186,10 +220,10 @@ def _contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> Da
 
     run, place = ["doc_id", "item_id", "offset"], ["doc_id", "item_id", "item_at", "strong", "width"]
     very = met.where("exact").select(*place, F.lit(1).alias("same"))
-    met = met.where(~F.col("exact")).withColumn("offset", F.col("at") - F.col("item_at"))
-    slots = met.where(F.size("slots") > 0).select(*run, F.explode(F.arrays_zip("slots", "item_slots")).alias("x")).distinct()
-    slots = slots.groupBy(*run).agg(F.count("*").alias("n"), F.count_distinct("x.item_slots").alias("ni"), F.min((F.col("x.slots") == F.col("x.item_slots")).cast("int")).alias("same"))
-    runs = met.select(*run, "item_at", "strong", "width").distinct().join(slots, run, "left").where("n is null or n = ni").select(*place, F.coalesce("same", F.lit(1)).alias("same")).unionByName(very)
+    met = met.where(~F.col("exact")).withColumn("offset", F.col("at") - F.col("item_at")).select(*run, "item_at", "slots", "item_slots", "strong", "width").distinct()
+    # an item has a bounded number of windows
+    listed = met.groupBy(*run).agg(F.sort_array(F.collect_list(F.struct("item_at", "slots", "item_slots", "strong", "width"))).alias("windows")).select("doc_id", "item_id", "windows")
+    runs = listed.mapInArrow(_stretches, "doc_id bigint, item_id bigint, item_at int, strong boolean, width int, same int").unionByName(very)
     templates = lambda at: F.count_distinct(F.when(F.col("strong"), F.col(at)))
     sizes = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"), templates("at").alias("item_templates"))
     found = runs.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n_windows"), templates("item_at").alias("n_templates"), F.sort_array(F.collect_set(F.struct("item_at", "width"))).alias("places"), F.min("same").alias("same"))
