@@ -21,7 +21,8 @@ doc_id are no inputs of a score.
 
 Defined results: null and empty texts score as a text without evidence; without
 usable labels every score is the same; documents with contradictory labels
-count once for each; rows that repeat get equal scores, a null doc_id is held
+teach nothing, of rows that share a labelled doc_id the least text teaches;
+rows that repeat get equal scores, a null doc_id is held
 out; an empty table gives an empty result; other columns aren't read.
 """
 
@@ -155,10 +156,9 @@ _EDGE = re.compile(r"^[^\w$@!|(+€]+|[^\w]{2,}$|[.,;:?!)\]}\"'’]+$")
 
 
 def restored(word: str, model: np.ndarray) -> str:
-    """A suspicious word without the punctuation around it, decoded; piecewise if it is very long."""
+    """A suspicious word without the punctuation around it, decoded."""
     core = _EDGE.sub("", word)
-    core = _EDGE.sub("", core)
-    return "".join(decode(core[k : k + 256], model) for k in range(0, len(core), 256))
+    return decode(_EDGE.sub("", core), model)
 
 
 @functools.cache
@@ -276,6 +276,8 @@ def _restored_words(texts: list[int], words: list[str]) -> tuple[np.ndarray, vec
     (_, _, buf, at), *more = vec.slices(pa.array([" ".join(x for _, x in pairs)]))
     assert not more
     r = vec.words(buf, at, vec.FOLDED)
+    if len(r.start) != len(pairs):  # a restored word is letters only
+        raise ValueError("restored words must be words")
     return np.array([t for t, _ in pairs], np.int64), r
 
 
@@ -369,10 +371,11 @@ def held_out(doc_id):
 def learned(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = SAMPLE) -> tuple[Lexicon, np.ndarray]:
     """Weights and the logistic function out of a bounded sample of labelled rows."""
     own = labels.select(labels["doc_id"].cast("bigint").alias("label_id"), labels["toxic"].cast("int").alias("toxic")).where("toxic in (0, 1)")
-    own = own.where(~held_out(F.col("label_id"))).orderBy(F.xxhash64("label_id"), "label_id", "toxic").limit(sample)
+    own = own.where(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other").select("label_id", "toxic")
+    own = own.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     chosen = F.broadcast(materialize(own, "toxic-labels"))  # at most `sample` rows
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = texts.join(chosen, F.col("doc_id") == F.col("label_id")).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
+    rows = texts.join(chosen, F.col("doc_id") == F.col("label_id")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
     rows = materialize(rows.select("text", "toxic", "half"), "toxic-sample")
 
     def features(batches):
