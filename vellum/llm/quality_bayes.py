@@ -14,8 +14,9 @@ one row per task.  Sites join back without forced broadcasts: Spark chooses by
 measured size and splits skewed keys.
 
 Defined results: null and empty texts have counts of 0 and are scored by them;
-null hosts and paths are sites of their own; without labels of both kinds every
-document's own probability is one half; rows that repeat count and are scored
+null hosts and paths are sites of their own; documents with contradictory labels
+teach nothing; without labels of both kinds every document's own probability is
+one half; rows that repeat count and are scored
 alike; an empty table gives an empty result; other columns aren't read.
 """
 
@@ -35,14 +36,13 @@ WEAKEST, STRONGEST = 5.0, 1000.0
 #: How far site evidence may move a document's log odds, either way.
 LIMIT = 1.0
 
+#: Logarithms of the counts' rates, one being added to each count as in the quality rules; words and their mean length.
 _RATES = {
-    "symbols": "n_symbols / greatest(word_chars, 1)",
-    "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
-    "repeats": "n_repeat_words / greatest(n_words, 1)",
+    "symbols": "ln((n_symbols + 1) / (word_chars + 1))",
+    "dup_lines": "ln((n_dup_lines + 1) / (n_lines + 1))",
+    "repeats": "ln((n_repeat_words + 1) / (n_words + 1))",
     "length": "ln(1 + n_words)",
     "word_length": "least(word_chars / greatest(n_words, 1), 20) / 10",
-    "many_symbols": "cast(50 * n_symbols > word_chars as double)",
-    "many_repeats": "cast(2 * n_repeat_words > n_words as double)",
 }
 
 
@@ -66,9 +66,11 @@ def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def classifier(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Coefficients from at most ``sample`` labelled rows; zeros without labels of both kinds."""
     own = labels.select(labels["doc_id"].cast("bigint").alias("label_id"), labels["quality"].cast("int").alias("quality")).where("quality in (0, 1) and label_id is not null")
-    own = own.orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(sample)
-    chosen = F.broadcast(own)  # bounded by `sample`
-    rows = sorted(tuple(r) for r in stats.join(chosen, F.col("doc_id") == F.col("label_id")).select("quality", *rates()).limit(2 * sample).collect())
+    own = own.groupBy("label_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").select("label_id", "quality")
+    chosen = F.broadcast(own.orderBy(F.xxhash64("label_id"), "label_id").limit(sample))  # bounded by `sample`
+    # rows that repeat a doc_id count once
+    used = stats.join(chosen, F.col("doc_id") == F.col("label_id")).groupBy("label_id").agg(F.first("quality").alias("quality"), F.min(F.struct(*rates())).alias("x"))
+    rows = sorted(tuple(r) for r in used.select("quality", "x.*").collect())
     y = np.array([r[0] for r in rows], float)
     if len(set(y)) < 2:
         return np.zeros(len(_RATES) + 1)
