@@ -16,11 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session has none (tests on one machine) a temporary folder is
-    made and recorded in the session, so that later calls find it too.
+    Where the session has none and runs on one machine, as in tests, a
+    temporary folder is made and recorded in the session, so that later calls
+    find it too; on a cluster that would lose data, so there it is an error.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = f"file://{tempfile.mkdtemp(prefix='vellum-')}"
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
