@@ -5,6 +5,8 @@ import pytest
 from vellum import cli
 from vellum.config import Config, Output, load, resolve, validate
 from vellum.errors import ConfigurationError
+from vellum.operators import caption as captioning
+from vellum.operators import extract
 from vellum.plans import pipeline
 from vellum.sources import files
 from vellum.streaming import intake
@@ -73,6 +75,80 @@ def test_failing_captioner_skips(spark, tmp_path, pdfs):
     assert rows[0].captioning_stats == {"images_found": 2, "images_captioned": 0, "images_skipped": 2}
 
 
+def test_files_that_cannot_be_written_fail_their_document(spark, tmp_path, pdfs):
+    """A folder in a file's place: that document's extraction fails, or its manifest's pipeline; the rest is written and logged."""
+    out = tmp_path / "out"
+    config = captioned(Config(output=Output(root_dir=str(out))))
+    p = pipeline.Pipeline(spark, config, lambda pdf, raw: "text", lambda path: "x")
+    jobs = files.jobs(spark, files.resolve_inputs(pdfs))
+    key = {r.label: r.paper_key for r in jobs.collect()}
+    (out / "markdown" / f"{key['a']}.md").mkdir(parents=True)
+    (out / "manifests" / f"{key['b']}.json").mkdir(parents=True)
+    rows = {r.label: r for r in p.run(jobs).collect()}
+    assert {k: r.status for k, r in rows.items()} == {"a": "failed_extraction", "b": "failed_pipeline_error", "c": "completed"}
+    assert rows["a"].error
+    assert rows["a"].markdown_path is None
+    assert rows["b"].manifest_path is None
+    assert open(rows["c"].markdown_path).read() == "text"
+    assert '"failed_stage":"extract_markdown"' in open(rows["a"].manifest_path).read()  # the failed document's manifest is kept
+    (out / "markdown" / f"{key['a']}.md").rmdir()
+    again = pipeline.Pipeline(spark, config, lambda pdf, raw: 1 / 0, lambda path: "x")  # no extractor is called
+    assert {r.label: r.status for r in again.run(jobs).collect()}["a"] == "completed"
+
+
+def test_captioning_by_document(spark, tmp_path, pdfs):
+    """A captioner of whole documents that raises fails that document's captioning and keeps its Markdown."""
+    config = captioned(Config(output=Output(root_dir=str(tmp_path / "out"))))
+
+    def caption(paper, manifest):
+        text = open(manifest["output_paths"]["markdown"]).read()
+        if "b.pdf" in text:
+            raise RuntimeError("no answer")
+        return {"markdown": text + " seen", "images_found": 3, "images_captioned": 2, "images_skipped": 1} if "a.pdf" in text else None
+
+    p = pipeline.Pipeline(spark, config, extract.of_paper(lambda paper, manifest: {"markdown": paper["pdf_path"], "pages": 1}), captioning.of_paper(caption))
+    jobs = files.jobs(spark, files.resolve_inputs(pdfs))
+    rows = {r.label: r for r in p.run(jobs).collect()}
+    assert {k: (r.status, r.success) for k, r in rows.items()} == {"a": ("completed", True), "b": ("failed_captioning", False), "c": ("completed", True)}
+    assert rows["b"].error == "no answer"
+    assert open(rows["b"].markdown_path).read().endswith("b.pdf")
+    assert rows["b"].captioned_path is None
+    assert open(rows["a"].captioned_path).read().endswith("a.pdf seen")
+    assert rows["a"].captioning_stats == {"images_found": 3, "images_captioned": 2, "images_skipped": 1}
+    m = {r.paper_key: r for r in p.manifests(jobs.select("paper_key", "pdf_path")).collect()}
+    assert sorted((r.batch_status, r.failed_stage) for r in m.values()) == [("failed", "caption_markdown"), ("succeeded", None), ("succeeded", None)]
+
+
+def test_outputs_on_disk_are_used_again(spark, tmp_path, pdfs):
+    """Markdown and captioned files that lie in the output folder count as results, unless forced."""
+    config = captioned(Config(output=Output(root_dir=str(tmp_path / "out"))))
+    jobs = files.jobs(spark, files.resolve_inputs(pdfs / "a.pdf"))
+    key = jobs.first().paper_key
+    for folder, text in (("markdown", "mine\r\n"), ("captioned_markdown", "mine, captioned")):
+        (tmp_path / "out" / folder).mkdir(parents=True)
+        (tmp_path / "out" / folder / f"{key}.md").write_bytes(text.encode())
+    row = pipeline.Pipeline(spark, config, lambda pdf, raw: 1 / 0, lambda path: 1 / 0).run(jobs).first()
+    assert (row.status, open(row.markdown_path).read()) == ("completed", "mine\n")
+    forced = replace(config, resume=replace(config.resume, force=True))
+    assert pipeline.Pipeline(spark, forced, lambda pdf, raw: "new", lambda path: "y").run(jobs).first().status == "completed"
+    assert open(row.markdown_path).read() == "new"
+
+
+def test_places_and_store_are_injected(spark, tmp_path, pdfs):
+    from types import SimpleNamespace
+
+    from vellum.functions import paths
+
+    names = {n: getattr(paths, n) for n in ("raw_dir", "captioned_path", "manifest_path")}
+    places = SimpleNamespace(**names, markdown_path=lambda root, key, name: paths.markdown_path(root, key, "elsewhere"))
+    store = pipeline.TableStore(spark, str(tmp_path / "state"))
+    p = pipeline.Pipeline(spark, Config(output=Output(root_dir=str(tmp_path / "out"))), lambda pdf, raw: "text", places=places, store=store)
+    row = p.run(files.jobs(spark, files.resolve_inputs(pdfs / "a.pdf"))).first()
+    assert "/elsewhere/" in row.markdown_path
+    assert (tmp_path / "state/tables/stage_events").is_dir()
+    assert not (tmp_path / "out/tables").exists()
+
+
 def test_force(spark, tmp_path, pdfs):
     calls = tmp_path / "calls"
     config = Config(output=Output(root_dir=str(tmp_path / "out")))

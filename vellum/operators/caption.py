@@ -12,11 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.config import Config
+from vellum.errors import CaptioningError
 from vellum.functions import markdown
 
 #: From an image's path to its caption; None or "" skips it.
 Captioner = Callable[[str], "str | None"]
 
+#: From (paper, manifest) to a dict with ``captioned_markdown_path`` or ``markdown``, and counts.
+DocumentCaptioner = Callable[[dict, dict], "dict | None"]
+COUNTS = ("images_found", "images_captioned", "images_skipped")
+
 CAPTIONS_SCHEMA = "paper_key string, pos int, caption string, seconds double"
 
 
@@ -59,6 +64,51 @@ def api(config: Config) -> Captioner:
     return with_retries(caption, own.max_retries)
 
 
+def of_paper(captioner: DocumentCaptioner) -> DocumentCaptioner:
+    """Mark a captioner as one of whole documents; where it raises, that document fails and keeps its Markdown."""
+
+    def caption(paper: dict, manifest: dict) -> dict | None:
+        return captioner(paper, manifest)
+
+    caption.documents = True
+    return caption
+
+
+def documents(todo: DataFrame, captioner: DocumentCaptioner | None, reuse: bool = False) -> DataFrame:
+    """``todo(paper_key, md, md_path, captioned_path)`` to ``(paper_key, md, *COUNTS, elapsed_seconds, reused, error)``.
+
+    With ``reuse``, a file that lies at ``captioned_path`` already is taken as
+    the result, without counts.  Without a captioner, nothing else comes back.
+    """
+    from vellum.operators.extract import read_text
+
+    names = ["paper_key", "md", *COUNTS, "elapsed_seconds", "reused", "error"]
+
+    def one(key: str, md: str, md_path: str, path: str) -> tuple | None:
+        began = time.monotonic()
+        try:
+            if reuse and Path(path).is_file():
+                return key, read_text(path), 0, 0, 0, 0.0, True, None
+            if captioner is None:
+                return None
+            got = captioner({"paper_key": key}, {"paper_key": key, "output_paths": {"markdown": md_path, "captioned_markdown": path}})
+            if got is not None and not isinstance(got, dict):
+                raise CaptioningError("a captioner must return a dict or None")
+            got = got or {}
+            made = got.get("captioned_markdown_path") or got.get("markdown_path")
+            text = got["markdown"] if got.get("markdown") is not None else read_text(made) if made else md
+            return key, text, *(int(got.get(c, 0)) for c in COUNTS), round(time.monotonic() - began, 3), False, None
+        except Exception as e:  # noqa: BLE001 one bad document never stops the rest
+            return key, None, 0, 0, 0, round(time.monotonic() - began, 3), False, str(e) or type(e).__name__
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [one(*x) for x in zip(frame["paper_key"], frame["md"], frame["md_path"], frame["captioned_path"], strict=True)]
+            yield pd.DataFrame([r for r in rows if r], columns=names)
+
+    return todo.select("paper_key", "md", "md_path", "captioned_path").mapInPandas(run, "paper_key string, md string, images_found bigint, images_captioned bigint, images_skipped bigint, elapsed_seconds double, reused boolean, error string")
+
+
 def images(texts: DataFrame) -> DataFrame:
     """``texts(paper_key, md)`` to ``(paper_key, pos, tag, alt, target)`` of captionable images."""
     return texts.select("paper_key", F.posexplode(markdown.captionable(F.col("md"))).alias("pos", "x")).select("paper_key", "pos", "x.tag", "x.alt", "x.target")

@@ -45,11 +45,36 @@ def command(config: Config) -> Extractor:
             found = _markdown_below(raw_dir, stem)
         if found is None:
             raise ExtractionError(f"no Markdown of {stem} below {raw_dir}")
-        return {"markdown": found.read_bytes().decode().replace("\r\n", "\n").replace("\r", "\n"), "ocr_markdown_path": str(found), "raw_dir": str(found.parent), "reused_existing": reused}
+        return {"markdown": read_text(found), "ocr_markdown_path": str(found), "raw_dir": str(found.parent), "reused_existing": reused}
 
     return extract
 
 
+def of_paper(extractor: Callable[[dict, dict], dict | None]) -> Extractor:
+    """An extractor that takes ``(paper, manifest)`` as the command does: its dict names a ``markdown_path``, or holds ``markdown``.
+
+    The paper has the fields of a local record, the manifest the paths that are
+    planned for it.
+    """
+
+    def extract(pdf_path: str, raw_dir: str) -> dict:
+        raw = Path(raw_dir)
+        got = extractor({"paper_key": raw.name, "title": Path(pdf_path).stem, "pdf_path": pdf_path}, {"paper_key": raw.name, "output_paths": {"pdf": pdf_path, "raw_dir": raw_dir}})
+        if got is not None and not isinstance(got, dict):
+            raise ExtractionError("an extractor must return a dict or None")
+        got = dict(got or {})
+        if "markdown" not in got and got.get("markdown_path"):
+            got["markdown"] = read_text(got["markdown_path"])
+        return got
+
+    return extract
+
+
+def read_text(path: str | Path) -> str:
+    """A text file with its newlines normalised."""
+    return Path(path).read_bytes().decode().replace("\r\n", "\n").replace("\r", "\n")
+
+
 def _markdown_below(raw_dir: str, stem: str) -> Path | None:
     """As :func:`vellum.operators.artifacts.located` for a folder at hand."""
     root = Path(raw_dir)
@@ -65,19 +90,21 @@ def _markdown_below(raw_dir: str, stem: str) -> Path | None:
     return min((p for p in root.rglob("*.md") if p.name == f"{stem}.md"), default=None) if root.is_dir() else None
 
 
-def extracted(pending: DataFrame, extractor: Extractor, tasks: int | None = None) -> DataFrame:
+def extracted(pending: DataFrame, extractor: Extractor, tasks: int | None = None, reuse: bool = False) -> DataFrame:
     """``pending(paper_key, pdf_path, raw_dir)`` to ``(paper_key, md, details, error)``.
 
-    Jobs are dealt out in small partitions, their durations being uneven.
+    With ``reuse``, a Markdown file that lies at a row's ``md_path`` already is
+    taken as the result.  Jobs are dealt out in small partitions, their durations being uneven.
     Effects run again when an action does: write the result once.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for key, pdf, raw in zip(frame["paper_key"], frame["pdf_path"], frame["raw_dir"], strict=True):
+            for key, pdf, raw, *ready in zip(*(frame[c] for c in columns), strict=True):
                 md, details, error = None, None, None
                 try:
-                    got = extractor(pdf, raw)
+                    there = bool(ready) and Path(ready[0]).is_file()
+                    got = {"markdown": read_text(ready[0]), "reused_existing": "true"} if there else extractor(pdf, raw)
                     if isinstance(got, str):
                         got = {"markdown": got}
                     if got is not None and not isinstance(got, dict):
@@ -89,8 +116,9 @@ def extracted(pending: DataFrame, extractor: Extractor, tasks: int | None = None
                     error = str(e) or type(e).__name__
                 yield pd.DataFrame({"paper_key": [key], "md": [md], "details": [details], "error": [error]})
 
+    columns = ["paper_key", "pdf_path", "raw_dir", *["md_path"] * reuse]
     spread = pending.repartition(tasks) if tasks else pending
-    return spread.select("paper_key", "pdf_path", "raw_dir").mapInPandas(run, SCHEMA)
+    return spread.select(*columns).mapInPandas(run, SCHEMA)
 
 
 def with_statistics(texts: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions import markdown, paths, records
-from vellum.operators import artifacts, caption, state
+from vellum.operators import artifacts, caption, extract, state
 from vellum.plans import pipeline
 from vellum.sources import files
 
@@ -380,3 +380,61 @@ def local_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = records.selected_source(path)
     rows = _jobs(spark, sf_dir).select(records.from_local_pdf(F.col("paper_key"), path).alias("p"), s.alias("s"))
     return rows.select("p.paper_key", "p.input_type", "p.input_value", "p.title", "p.local_pdf_path", "p.raw_metadata", F.col("s")["pdf_url"].alias("source_pdf"), F.col("s")["host_type"].alias("host_type"))
+
+
+# ---- stages over injected functions ----
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("doc_id").cast("string")
+    places = (F.lit("/nowhere"), key)
+    return _table(spark, sf_dir, "documents").select("doc_id", key.alias("paper_key"), F.concat(F.lit("/in/"), key, F.lit(".pdf")).alias("pdf_path"), paths.raw_dir(*places).alias("raw_dir"), paths.markdown_path(*places).alias("md_path"), paths.captioned_path(*places).alias("captioned_path"))
+
+
+def _extractor(pdf: str, raw: str) -> dict | int | None:
+    k = int(pdf.rpartition("/")[2].removesuffix(".pdf"))
+    if k % 11 == 0:
+        raise RuntimeError(f"no text in {k}")
+    return None if k % 13 == 0 else k if k % 17 == 0 else {"markdown": f"# {k}", "pages": k % 5}
+
+
+_MADE = """CASE WHEN doc_id % 11 = 0 THEN 'no text in ' || doc_id WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN 'an extractor returns text, a dict or None' END AS error,
+  CASE WHEN doc_id % 11 <> 0 AND doc_id % 13 <> 0 AND doc_id % 17 <> 0 THEN '# ' || doc_id END AS md"""
+
+
+@query(f"SELECT *, CASE WHEN error IS NULL THEN 'completed' ELSE 'failed_extraction' END AS status FROM (SELECT doc_id, {_MADE}, CASE WHEN doc_id % 11 <> 0 AND doc_id % 13 <> 0 AND doc_id % 17 <> 0 THEN (doc_id % 5)::VARCHAR END AS pages FROM documents)")
+def failed_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extractors that raise, or return what they may not, fail their document only."""
+    made = extract.extracted(_numbered(spark, sf_dir), _extractor)
+    return made.select(F.col("paper_key").cast("bigint").alias("doc_id"), "md", "error", F.try_element_at("details", F.lit("pages")).alias("pages"), pipeline.outcome(F.col("error"), F.lit(None).cast("string")).alias("status"))
+
+
+def _captioner(paper: dict, manifest: dict) -> dict | None:
+    k = int(paper["paper_key"])
+    if k % 9 == 0:
+        raise RuntimeError("no answer for " + manifest["output_paths"]["captioned_markdown"])
+    return None if k % 10 == 0 else {"markdown": f"seen {k}", "images_found": k % 4, "images_captioned": k % 4 // 2, "images_skipped": k % 4 - k % 4 // 2}
+
+
+@query("""WITH c AS (SELECT doc_id, doc_id % 9 = 0 AS bad, doc_id % 10 = 0 AS same FROM documents)
+SELECT doc_id, CASE WHEN bad THEN NULL WHEN same THEN '# ' || doc_id ELSE 'seen ' || doc_id END AS md,
+  CASE WHEN bad OR same THEN 0 ELSE doc_id % 4 END AS images_found, CASE WHEN bad OR same THEN 0 ELSE doc_id % 4 // 2 END AS images_captioned,
+  CASE WHEN bad OR same THEN 0 ELSE doc_id % 4 - doc_id % 4 // 2 END AS images_skipped,
+  CASE WHEN bad THEN 'no answer for /nowhere/captioned_markdown/' || doc_id || '.md' END AS error, CASE WHEN bad THEN 'failed_captioning' ELSE 'completed' END AS status FROM c""")
+def caption_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captioners of whole documents: counts, documents left as they are, and those that fail."""
+    todo = _numbered(spark, sf_dir).withColumn("md", F.concat(F.lit("# "), "paper_key"))
+    made = caption.documents(todo, caption.of_paper(_captioner))
+    return made.select(F.col("paper_key").cast("bigint").alias("doc_id"), "md", *caption.COUNTS, "error", pipeline.outcome(F.lit(None).cast("string"), F.col("error")).alias("status"))
+
+
+@query(f"""WITH h AS (SELECT doc_id, doc_id % 3 = 0 AS have FROM documents), m AS (SELECT doc_id, {_MADE} FROM documents)
+SELECT doc_id, CASE WHEN have THEN 'kept ' || doc_id ELSE md END AS md, CASE WHEN NOT have THEN error END AS error, have AS reused FROM h JOIN m USING (doc_id)""")
+def reuse_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results that are there are used again; failed ones, and jobs without any, go to the extractor."""
+    jobs = _numbered(spark, sf_dir)
+    last = jobs.where("doc_id % 3 < 2").select("paper_key", F.concat(F.lit("kept "), "paper_key").alias("md"), F.when(F.col("doc_id") % 3 == 1, "failed before").alias("error"))
+    have = last.where("error is null")
+    made = extract.extracted(jobs.join(have.select("paper_key"), "paper_key", "left_anti"), _extractor)
+    key = F.col("paper_key").cast("bigint").alias("doc_id")
+    return have.select(key, "md", "error", F.lit(True).alias("reused")).unionByName(made.select(key, "md", "error", F.lit(False).alias("reused")))

@@ -3,6 +3,10 @@
 Stage outputs and events are Parquet tables below ``root/tables``; each stage
 reads what it needs and appends once, so a lost executor repeats its own
 documents only.  Everything expensive runs on jobs that an anti-join has left.
+
+Whatever fails, fails for its document: an extractor or captioner that raises
+and a Markdown file that can't be written fail that stage, a manifest that can't
+be written is a pipeline error.  A success is logged after its file exists.
 """
 
 from __future__ import annotations
@@ -19,9 +23,9 @@ from vellum import config as configuration
 from vellum.config import Config
 from vellum.errors import StateStoreError
 from vellum.functions import paths
+from vellum.operators import artifacts, state
 from vellum.operators import caption as captioning
 from vellum.operators import extract as extraction
-from vellum.operators import state
 from vellum.sources import export, files
 
 LOGGER = logging.getLogger("vellum")
@@ -89,35 +93,58 @@ def enable_logging(level="INFO", log_file=None) -> None:
     LOGGER.handlers = handlers
 
 
+class TableStore:
+    """Where stage outputs and events are kept: Parquet tables below ``root/tables``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/tables/{name}"
+
+    def table(self, name: str, schema: str) -> DataFrame:
+        if not Path(self.path(name)).exists():
+            return self.spark.createDataFrame([], schema)
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        except Exception as e:
+            raise StateStoreError(f"table {name} can't be read: {e}") from e
+
+    def append(self, name: str, rows: DataFrame, mode: str = "append") -> None:
+        try:
+            rows.write.mode(mode).parquet(self.path(name))
+        except Exception as e:
+            raise StateStoreError(f"table {name} can't be written: {e}") from e
+
+    def put(self, name: str, rows: DataFrame) -> None:
+        """Replace a table."""
+        self.append(name, rows, "overwrite")
+
+
 class Pipeline:
-    """One configuration, its tables, and the two injected functions."""
+    """One configuration, its tables, and the injected functions.
+
+    ``places`` names files and folders as :mod:`vellum.functions.paths` does,
+    ``store`` keeps tables as :class:`TableStore` does.
+    """
 
-    def __init__(self, spark: SparkSession, config: Config, extractor: extraction.Extractor | None = None, captioner: captioning.Captioner | None = None):
+    def __init__(self, spark: SparkSession, config: Config, extractor: extraction.Extractor | None = None, captioner: captioning.Captioner | captioning.DocumentCaptioner | None = None, *, places=paths, store: TableStore | None = None):
         configuration.validate(config)
         self.spark, self.config = spark, config
         self.extractor = extractor or extraction.command(config)
-        self.captioner = captioning.with_retries(captioner, config.captioning.max_retries) if captioner else captioning.api(config) if config.captioning.enabled else None
+        whole = getattr(captioner, "documents", False)
+        self.captioner = captioner if whole else captioning.with_retries(captioner, config.captioning.max_retries) if captioner else captioning.api(config) if config.captioning.enabled else None
         self.root = str(Path(config.output.root_dir).resolve())
+        self.places, self.store = places, store or TableStore(spark, self.root)
         export.ensure_folders(config)
 
     # ---- tables ----
 
-    def _path(self, name: str) -> Path:
-        return Path(self.root) / "tables" / name
-
     def table(self, name: str, schema: str) -> DataFrame:
-        if not self._path(name).exists():
-            return self.spark.createDataFrame([], schema)
-        try:
-            return self.spark.read.schema(schema).parquet(str(self._path(name)))
-        except Exception as e:
-            raise StateStoreError(f"table {name} can't be read: {e}") from e
+        return self.store.table(name, schema)
 
     def append(self, name: str, rows: DataFrame) -> None:
-        try:
-            rows.write.mode("append").parquet(str(self._path(name)))
-        except Exception as e:
-            raise StateStoreError(f"table {name} can't be written: {e}") from e
+        self.store.append(name, rows)
 
     def latest(self, name: str, schema: str) -> DataFrame:
         """The last run's row of each document."""
@@ -156,12 +183,17 @@ class Pipeline:
         todo = state.pending(jobs, folded, state.EXTRACT, resume, c.resume.skip_completed_stages)
         have = self.latest("extraction", EXTRACTION_SCHEMA).where("error is null")
         fresh = todo if c.resume.force else todo.join(have.select("paper_key"), "paper_key", "left_anti")
-        raw = paths.raw_dir(F.lit(self.root), F.col("paper_key"), c.output.raw_dir_name)
-        done = extraction.with_statistics(extraction.extracted(fresh.withColumn("raw_dir", raw), self.extractor, max(1, self.spark.sparkContext.defaultParallelism)))
+        o, root, key = c.output, F.lit(self.root), F.col("paper_key")
+        raw, md_path, cap_path = self.places.raw_dir(root, key, o.raw_dir_name), self.places.markdown_path(root, key, o.markdown_dir_name), self.places.captioned_path(root, key, o.captioned_markdown_dir_name)
+        done = extraction.with_statistics(extraction.extracted(fresh.withColumn("raw_dir", raw).withColumn("md_path", md_path), self.extractor, max(1, self.spark.sparkContext.defaultParallelism), reuse=not c.resume.force))
         self.append("extraction", done.withColumn("run", F.lit(run).cast("bigint")))
         latest = self.latest("extraction", EXTRACTION_SCHEMA)
+        texts = todo.select("paper_key").join(latest.where("error is null"), "paper_key")
+        summary_path = F.concat(raw, F.lit("/extraction_summary.json"))
+        latest = self._written(latest, run, 1, texts.select("paper_key", md_path.alias("path"), F.col("md").alias("text")).unionByName(
+            texts.select("paper_key", summary_path.alias("path"), F.to_json(F.struct("num_images", "num_tables", "num_equations", "num_headings", "details")).alias("text"))))
         now = todo.select("paper_key").join(latest, "paper_key")
-        md_path = paths.markdown_path(F.lit(self.root), F.col("paper_key"), c.output.markdown_dir_name)
+        LOGGER.info("extraction: %s", self._tally(now))
         fine, counts = F.col("error").isNull(), [F.lit("markdown_path"), md_path]
         for n in ("num_images", "num_tables", "num_equations", "num_headings"):
             counts += [F.lit(n), F.col(n).cast("string")]
@@ -179,71 +211,84 @@ class Pipeline:
             todo2 = state.pending(good, folded, state.CAPTION, resume, c.resume.skip_completed_stages)
             had = self.latest("captions", CAPTION_SCHEMA).where("error is null")
             fresh2 = todo2 if c.resume.force else todo2.join(had.select("paper_key"), "paper_key", "left_anti")
-            self.append("captions", self._captioned(fresh2).withColumn("run", F.lit(run).cast("bigint")))
+            self.append("captions", self._captioned(fresh2.withColumn("md_path", md_path).withColumn("captioned_path", cap_path)).withColumn("run", F.lit(run).cast("bigint")))
             captioned = self.latest("captions", CAPTION_SCHEMA)
+            texts = todo2.select("paper_key").join(captioned.where("error is null"), "paper_key")
+            captioned = self._written(captioned, run, 2, texts.select("paper_key", cap_path.alias("path"), F.col("md").alias("text")))
             now2 = todo2.select("paper_key").join(captioned, "paper_key")
-            again = F.col("run") != run
-            cap_path = paths.captioned_path(F.lit(self.root), F.col("paper_key"), c.output.captioned_markdown_dir_name)
+            LOGGER.info("captioning: %s", self._tally(now2))
+            again = (F.col("run") != run) | F.col("reused")
             stats = [F.lit("captioned_markdown_path"), cap_path, F.lit("reused_existing"), again.cast("string")]
-            for n in ("images_found", "images_captioned", "images_skipped"):
+            for n in captioning.COUNTS:
                 stats += [F.lit(n), F.when(again, "0").otherwise(F.col(n).cast("string"))]
             log += [
                 self._event(todo2, run, 20, "stage", state.CAPTION, "in_progress", "captioning markdown", attempt=1),
-                self._event(now2, run, 21, "stage", state.CAPTION, "succeeded", "captioning completed", details=F.create_map(*stats)),
+                self._event(now2.where("error is not null"), run, 21, "stage", state.CAPTION, "failed", error=F.col("error")),
+                self._event(now2.where("error is null"), run, 21, "stage", state.CAPTION, "succeeded", "captioning completed", details=F.create_map(*stats)),
             ]
         else:
             log.append(self._event(good, run, 20, "stage", state.CAPTION, "skipped", "captioning disabled or not configured"))
-        log.append(self._event(good, run, 30, "completed"))
+        ended = good if captioned is None else good.join(captioned.where("error is null").select("paper_key"), "paper_key", "left_semi")
+        log.append(self._event(ended, run, 30, "completed"))
         events = log[0]
         for e in log[1:]:
             events = events.unionByName(e)
         self.append("stage_events", events)
-        self._export(good, captioned)
-        return self._results(jobs, latest, captioned, run)
+        manifests = state.to_json(self.manifests(jobs.select("paper_key", "pdf_path"))).select("paper_key", self.places.manifest_path(root, key, o.manifests_dir_name).alias("path"), F.col("json").alias("text"))
+        unsaved = self._written(jobs.select("paper_key", F.lit(None).cast("string").alias("error")), run, 3, manifests).where("error is not null")
+        return self._results(jobs, latest, captioned, unsaved, run)
+
+    def _written(self, rows: DataFrame, run: int, step: int, files_: DataFrame) -> DataFrame:
+        """``rows`` with ``error`` filled where a document's files can't be written; all others are."""
+        name = f"exports/run={run}-{step}"
+        self.store.put(name, export.export_texts(files_))  # files are written once
+        bad = self.table(name, "paper_key string, path string, error string").where("error is not null")
+        bad = bad.groupBy(F.col("paper_key").alias("b_key")).agg(F.min(F.concat("path", F.lit(": "), "error")).alias("b_error"))
+        return rows.join(bad, F.col("paper_key") == F.col("b_key"), "left").withColumn("error", F.coalesce("error", "b_error")).drop("b_key", "b_error")
+
+    def _tally(self, rows: DataFrame) -> str:
+        n, bad = rows.agg(F.count("*"), F.count("error")).first()
+        return f"{n - bad} succeeded, {bad} failed"
 
     def _captioned(self, todo: DataFrame) -> DataFrame:
-        listing = files.listing(self.spark, Path(self.root) / self.config.output.raw_dir_name)
-        raw = paths.raw_dir(F.lit(self.root), F.col("paper_key"), self.config.output.raw_dir_name)
-        based = todo.select("paper_key", F.coalesce(F.try_element_at("details", F.lit("raw_dir")), raw).alias("base_dir"))
+        reuse = not self.config.resume.force
+        if getattr(self.captioner, "documents", False):
+            return captioning.documents(todo, self.captioner, reuse)
+        if reuse:
+            self.store.put("captions_found", captioning.documents(todo, None, True))
+            there = self.table("captions_found", CAPTION_SCHEMA.rpartition(",")[0])
+            todo = todo.join(there.select("paper_key"), "paper_key", "left_anti")
+        raw = self.places.raw_dir(F.lit(self.root), F.col("paper_key"), self.config.output.raw_dir_name)
+        based = todo.select("paper_key", raw.alias("raw_dir"), F.coalesce(F.try_element_at("details", F.lit("raw_dir")), raw).alias("recorded_dir"))
+        self.store.put("raw_files", files.listing(based))
+        listing = self.table("raw_files", "paper_key string, path string, is_dir boolean")
         texts = todo.select("paper_key", "md")
-        made = captioning.captions(captioning.image_files(captioning.images(texts), based, listing), self.captioner)
-        kept = self._path("image_captions")
-        made.write.mode("overwrite").parquet(str(kept))  # each image is captioned once
-        made = self.spark.read.schema(captioning.CAPTIONS_SCHEMA).parquet(str(kept))
+        made = captioning.captions(captioning.image_files(captioning.images(texts), artifacts.image_base(based, listing), listing), self.captioner)
+        self.store.put("image_captions", made)  # each image is captioned once
+        made = self.table("image_captions", captioning.CAPTIONS_SCHEMA)
         spent = made.groupBy("paper_key").agg(F.round(F.sum("seconds"), 3).alias("elapsed_seconds"))
-        return captioning.rewritten(texts, made).join(spent, "paper_key", "left").select("paper_key", "md", "images_found", "images_captioned", "images_skipped", F.coalesce("elapsed_seconds", F.lit(0.0)).alias("elapsed_seconds"), F.lit(False).alias("reused"), F.lit(None).cast("string").alias("error"))
+        new = captioning.rewritten(texts, made).join(spent, "paper_key", "left").select("paper_key", "md", *captioning.COUNTS, F.coalesce("elapsed_seconds", F.lit(0.0)).alias("elapsed_seconds"), F.lit(False).alias("reused"), F.lit(None).cast("string").alias("error"))
+        return new.unionByName(there) if reuse else new
 
-    def _export(self, good: DataFrame, captioned: DataFrame | None) -> None:
-        """Markdown, captioned Markdown, manifests and extraction summaries as files."""
-        root, o = F.lit(self.root), self.config.output
-        texts = good.select(paths.markdown_path(root, F.col("paper_key"), o.markdown_dir_name).alias("path"), F.col("md").alias("text"))
-        summaries = good.select(F.concat(paths.raw_dir(root, F.col("paper_key"), o.raw_dir_name), F.lit("/extraction_summary.json")).alias("path"), F.to_json(F.struct("num_images", "num_tables", "num_equations", "num_headings", "details")).alias("text"))
-        manifests = state.to_json(self.manifests(good.select("paper_key", "pdf_path"))).select(paths.manifest_path(root, F.col("paper_key"), o.manifests_dir_name).alias("path"), F.col("json").alias("text"))
-        every = texts.unionByName(summaries).unionByName(manifests)
-        if captioned is not None:
-            every = every.unionByName(captioned.join(good.select("paper_key"), "paper_key", "left_semi").select(paths.captioned_path(root, F.col("paper_key"), o.captioned_markdown_dir_name).alias("path"), F.col("md").alias("text")))
-        bad = export.export_texts(every).where("error is not null").take(1)
-        if bad:
-            raise StateStoreError(f"{bad[0]['path']}: {bad[0]['error']}")
-
-    def _results(self, jobs: DataFrame, latest: DataFrame, captioned: DataFrame | None, run: int) -> DataFrame:
+    def _results(self, jobs: DataFrame, latest: DataFrame, captioned: DataFrame | None, unsaved: DataFrame, run: int) -> DataFrame:
         root, o = F.lit(self.root), self.config.output
         e = latest.select("paper_key", F.col("error").alias("extract_error"), F.create_map(*[x for n in ("num_images", "num_tables", "num_equations", "num_headings") for x in (F.lit(n), F.col(n))]).alias("extraction_stats"))
         null = F.lit(None)
         if captioned is None:
             c = latest.select("paper_key", null.cast("string").alias("caption_error"), null.cast("map<string,bigint>").alias("captioning_stats"), F.lit(False).alias("has_captions"))
         else:
-            shown = lambda n: F.when(F.col("run") == run, F.col(n)).otherwise(F.lit(0).cast("bigint"))
-            c = captioned.select("paper_key", F.col("error").alias("caption_error"), F.create_map(*[x for n in ("images_found", "images_captioned", "images_skipped") for x in (F.lit(n), shown(n))]).alias("captioning_stats"), F.col("error").isNull().alias("has_captions"))
-        status = outcome(F.col("extract_error"), F.col("caption_error"))
-        r = jobs.join(e, "paper_key", "left").join(c, "paper_key", "left").withColumn("status", status)
+            shown = lambda n: F.when((F.col("run") == run) & ~F.col("reused"), F.col(n)).otherwise(F.lit(0).cast("bigint"))
+            c = captioned.select("paper_key", F.col("error").alias("caption_error"), F.create_map(*[x for n in captioning.COUNTS for x in (F.lit(n), shown(n))]).alias("captioning_stats"), F.col("error").isNull().alias("has_captions"))
+        status = outcome(F.col("extract_error"), F.col("caption_error"), F.col("pipeline_error"))
+        u = unsaved.select("paper_key", F.col("error").alias("pipeline_error"))
+        r = jobs.join(e, "paper_key", "left").join(c, "paper_key", "left").join(u, "paper_key", "left").withColumn("status", status)
         fine = F.col("extract_error").isNull()
         return r.orderBy("ord").select(
             "paper_key", "label", "pdf_path", (F.col("status") == "completed").alias("success"), "status",
-            F.when(fine, paths.markdown_path(root, F.col("paper_key"), o.markdown_dir_name)).alias("markdown_path"),
-            F.when(F.col("has_captions"), paths.captioned_path(root, F.col("paper_key"), o.captioned_markdown_dir_name)).alias("captioned_path"),
-            paths.manifest_path(root, F.col("paper_key"), o.manifests_dir_name).alias("manifest_path"),
-            F.when(fine, F.col("extraction_stats")).alias("extraction_stats"), "captioning_stats", F.coalesce("extract_error", "caption_error").alias("error"),
+            F.when(fine, self.places.markdown_path(root, F.col("paper_key"), o.markdown_dir_name)).alias("markdown_path"),
+            F.when(F.col("has_captions"), self.places.captioned_path(root, F.col("paper_key"), o.captioned_markdown_dir_name)).alias("captioned_path"),
+            F.when(F.col("pipeline_error").isNull(), self.places.manifest_path(root, F.col("paper_key"), o.manifests_dir_name)).alias("manifest_path"),
+            F.when(fine, F.col("extraction_stats")).alias("extraction_stats"), "captioning_stats", F.coalesce("pipeline_error", "extract_error", "caption_error").alias("error"),
         )
 
 

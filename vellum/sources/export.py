@@ -42,7 +42,7 @@ def ensure_folders(config: Config) -> None:
 
 
 def export_texts(rows: DataFrame) -> DataFrame:
-    """Write ``rows(path, text)`` to files from the tasks; ``(path, error)``, errors being data."""
+    """Write ``rows(paper_key, path, text)`` to files from the tasks; ``(paper_key, path, error)``, errors being data."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -53,6 +53,6 @@ def export_texts(rows: DataFrame) -> DataFrame:
                     errors.append(None)
                 except OSError as e:
                     errors.append(str(e))
-            yield pd.DataFrame({"path": frame["path"], "error": pd.Series(errors, dtype=object)})
+            yield pd.DataFrame({"paper_key": frame["paper_key"], "path": frame["path"], "error": pd.Series(errors, dtype=object)})
 
-    return rows.select("path", "text").mapInPandas(run, "path string, error string")
+    return rows.select("paper_key", "path", "text").mapInPandas(run, "paper_key string, path string, error string")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +49,16 @@ def with_keys(listed: DataFrame) -> DataFrame:
     return listed.where(paths.is_pdf(p)).select("ord", paths.paper_key(p).alias("paper_key"), "pdf_path", paths.stem(p).alias("label"))
 
 
-def listing(spark: SparkSession, root: str | Path) -> DataFrame:
-    """``(path, is_dir)`` of everything below a local folder."""
-    rows = [(str(x), x.is_dir()) for x in sorted(Path(root).rglob("*"))] if Path(root).is_dir() else []
-    return spark.createDataFrame(rows, "path string, is_dir boolean")
+def listing(folders: DataFrame) -> DataFrame:
+    """``folders(paper_key, raw_dir)`` to ``(paper_key, path, is_dir)`` of everything below each, listed by the tasks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for key, root in zip(frame["paper_key"], frame["raw_dir"], strict=True):
+                below = sorted(Path(root).rglob("*")) if Path(root).is_dir() else []
+                yield pd.DataFrame({"paper_key": [key] * len(below), "path": [str(x) for x in below], "is_dir": [x.is_dir() for x in below]})
+
+    return folders.select("paper_key", "raw_dir").mapInPandas(run, "paper_key string, path string, is_dir boolean")
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Documents as they arrive: a stream of jobs, each micro-batch run through the pipeline.
 
-An extension of the batch engine.  The pipeline's own state makes a repeated
-micro-batch harmless: jobs that have succeeded are not run again.
+An extension of the batch engine.  A repeated micro-batch is harmless: jobs that
+have succeeded are not run again, and its results replace those of the same
+number.
 """
 
 from __future__ import annotations
@@ -19,6 +20,6 @@ def start(arrivals: DataFrame, pipeline: Pipeline, checkpoint: str) -> Streaming
     def batch(rows: DataFrame, number: int) -> None:
         jobs = files.with_keys(rows).dropDuplicates(["paper_key"])
         if not jobs.isEmpty():
-            pipeline.append("results", pipeline.run(jobs))
+            pipeline.store.put(f"results/batch={number}", pipeline.run(jobs))
 
     return arrivals.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
