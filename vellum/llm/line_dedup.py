@@ -7,22 +7,27 @@ then smaller line number) has a Jaccard similarity of at least ``THRESHOLD``.
    order the words of every line, rarest first.  The order is total and the
    same everywhere, so the tables' collisions cost time, never results.
 2. Each line posts its prefix: two lines at the threshold share a word there.
-   A word that occurs once in the table is never posted.  Equal sets are
-   collapsed per batch and again per word, so a line that a third of all
-   documents share posts as often as there are batches.
+   Where all words that two lines share there are ``HOT`` ones, they share two
+   of them in prefixes that are one word longer; so hot words are posted in
+   pairs, and the group of a single word never has more than HOT lines.  Equal
+   sets are collapsed per batch and again per word; sets of up to three words
+   only equal sets can match, and these are found without postings.
 3. Postings are dealt out by word and sorted by set size.  A pair survives if
    its sizes (length filter), its places in the orders (positional filter) and
-   a parity of 64 or 128 bits of its words (no two sets differ in more bits than words)
-   allow the threshold.  Of the survivors the ``KEPT_PER_WORD`` earliest per
-   line and word go on; lines for which all of these fail verification, though
-   there were more, are joined again with all survivors of their words.
+   a parity of 64 or 128 bits of its words (no two sets differ in more bits than
+   words) allow the threshold; it is a strong one if the parity leaves much
+   room.  A line looks through the earlier ones among its word's lines of like
+   size until it has ``STRONG`` strong partners, so in a group of g near copies
+   about g log g pairs are looked at, not g * g.  These go on, or without any
+   all that survive, ``MOST`` at most.  Lines for which all fail verification,
+   though there may be more, are joined again with all survivors of their words.
 4. Survivors are verified by exact Jaccard over the words' 64-bit hashes.
 
-Defined results: lines of fewer than ``MIN_WORDS`` distinct words always stay,
-as do lines of rows without doc_id; a null text has no lines; rows that repeat
-a doc_id and line count as the same line; ties in place can't occur otherwise;
-an empty table gives an empty result; other columns aren't read, and
-:func:`keep` returns them unchanged.
+Defined results: a line without words always stays, as do lines of rows without
+doc_id; a null text has no lines; rows that repeat a doc_id and line count as
+the same line; ties in place can't occur otherwise; an empty table gives an
+empty result; other columns aren't read, and :func:`keep` returns them
+unchanged.
 """
 
 from __future__ import annotations
@@ -37,15 +42,22 @@ from pyspark.sql import functions as F
 from . import vec
 from .shared import Scratch, materialize
 
-THRESHOLD, MIN_WORDS = 0.8, 4
-#: Bits of the table of word counts (2 ** 20 counts, 8 MB) and of the finer one that tells words seen once (2 ** 24 bytes).
-TABLE_BITS, SEEN_BITS, CHUNKS = 20, 24, 256
+THRESHOLD = 0.8
+#: Sets of fewer words have no partner but equal sets.
+LEAST = 4
+#: Bits of the table of word counts (2 ** 20 counts, 8 MB).
+TABLE_BITS, CHUNKS = 20, 256
+#: Words that occur so often are posted in pairs.
+HOT = 1 << 16
 #: Lines of more words keep 128 parity bits instead of 64.
 LONG = 64
-#: Survivors of a line and word that go on at once, earliest first.
-KEPT_PER_WORD = 16
+#: Survivors of a line and word that go on at once: strong ones, which by their parities differ in no more than half of the words that they may, or others.
+STRONG, MOST = 2, 64
 
-POSTS = "t bigint, np bigint, s1 bigint, doc_id bigint, line int, b0 bigint, b1 bigint"
+#: k: 40 bits of the word's hash, 12 of the set's size, 12 of the word's place in the line; both stop at TOP.
+#: sl: 32 bits of the set's hash, and the line's number.
+POSTS = "k bigint, sl bigint, doc_id bigint, b0 bigint, b1 bigint"
+TOP = (1 << 12) - 1
 PAIRS = "doc_id bigint, line int, e_doc bigint, e_line int, more boolean"
 
 
@@ -53,89 +65,84 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).where("doc_id is not null and text is not null")
 
 
-SCAN = "doc_id bigint, line int, s1 bigint, s2 bigint, chunk int, counts binary, seen binary"
+SCAN = "doc_id bigint, line int, s1 bigint, s2 bigint, chunk int, counts binary"
 
 
 def scanned(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """One pass over the texts, written once: ``(doc_id, line, s1, s2)`` of all lines that take part (their places and
-    128-bit set hashes), and each task's word counts as compressed ``(chunk, counts, seen)``."""
-    names = ["doc_id", "line", "s1", "s2", "chunk", "counts", "seen"]
+    """One pass over the texts, written once: ``(doc_id, line, s1, s2)`` of all lines with words (their places and
+    128-bit set hashes), and each task's word counts as compressed ``(chunk, counts)``."""
+    names = ["doc_id", "line", "s1", "s2", "chunk", "counts"]
 
     def run(batches):
-        table, seen = np.zeros(1 << TABLE_BITS, np.int64), np.zeros(1 << SEEN_BITS, np.uint8)
+        table = np.zeros(1 << TABLE_BITS, np.int64)
         for batch in batches:
             found = []
             for lo, _, buf, at in vec.slices(batch.column(1)):
                 w = vec.words(buf, at)
-                found.append((w.hash >> vec.U(64 - SEEN_BITS)).astype(np.int32))
+                found.append((w.hash >> vec.U(64 - TABLE_BITS)).astype(np.int32))
                 x = Lines(w)
                 n = len(x.n)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + x.text)), pa.array(x.number.astype(np.int32)), vec.signed(x.s1), vec.signed(x.s2()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + x.text)), pa.array(x.number.astype(np.int32)), vec.signed(x.s1), vec.signed(x.s2()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
             if found:
-                fine = np.bincount(np.concatenate(found), minlength=len(seen))
-                table += fine.reshape(len(table), -1).sum(axis=1)
-                seen += np.minimum(fine, 2).astype(np.uint8)
-                np.minimum(seen, 2, out=seen)
-        parts, marks = table.reshape(CHUNKS, -1), seen.reshape(CHUNKS, -1)
+                table += np.bincount(np.concatenate(found), minlength=len(table))
+        parts = table.reshape(CHUNKS, -1)
         some = np.flatnonzero(parts.any(axis=1))
         for k in np.array_split(some, max(1, len(some) // 16)):
             n = len(k)
-            packed = [pa.array([zlib.compress(v[x].tobytes(), 1) for x in k], pa.binary()) for v in (parts, marks)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(k.astype(np.int32)), *packed], names)
+            packed = pa.array([zlib.compress(parts[x].tobytes(), 1) for x in k], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(k.astype(np.int32)), packed], names)
 
     return scratch.table(texts(docs).mapInArrow(run, SCAN), "line-scan")
 
 
-def word_tables(scan: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all words by the top bits of their hashes, and by more bits whether there were 0, 1 or more.
+def word_counts(scan: DataFrame) -> np.ndarray:
+    """Counts of all words by the top bits of their hashes.
 
     The tasks' chunks are added where they are dealt to, as a stream.  The
-    driver gets the sums, 24 MB for any input.
+    driver gets the sums, 8 MB for any input.
     """
 
     def add(batches):
-        own: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        own: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, *raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part, mark = (np.frombuffer(zlib.decompress(r), t) for r, t in zip(raw, (np.int64, np.uint8), strict=True))
-                own[k] = (own[k][0] + part, np.minimum(own[k][1] + mark, 2)) if k in own else (part, mark)
-        for k, (part, mark) in own.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([zlib.compress(mark.tobytes(), 1)], pa.binary())], ["chunk", "counts", "seen"])
-
-    table, seen = np.zeros((CHUNKS, (1 << TABLE_BITS) // CHUNKS), np.int64), np.zeros((CHUNKS, (1 << SEEN_BITS) // CHUNKS), np.uint8)
-    for k, part, mark in scan.where("chunk is not null").select("chunk", "counts", "seen").repartition("chunk").mapInArrow(add, "chunk int, counts binary, seen binary").toLocalIterator():
-        table[k], seen[k] = np.frombuffer(zlib.decompress(part), np.int64), np.frombuffer(zlib.decompress(mark), np.uint8)
-    return np.minimum(table.ravel(), (1 << 20) - 1).astype(np.int32), seen.ravel()
+            for k, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(zlib.decompress(raw), np.int64)
+                own[k] = own[k] + part if k in own else part
+        for k, part in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["chunk", "counts"])
+
+    table = np.zeros((CHUNKS, (1 << TABLE_BITS) // CHUNKS), np.int64)
+    for k, part in scan.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary").toLocalIterator():
+        table[k] = np.frombuffer(zlib.decompress(part), np.int64)
+    return np.minimum(table.ravel(), (1 << 20) - 1).astype(np.int32)
+
+
+def rarest_first(h: np.ndarray, line: np.ndarray, n: int, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Words' hashes and their ``n`` lines (ascending), in the order of each line, without repeats."""
+    common = counts[(h >> vec.U(64 - TABLE_BITS)).astype(np.int64)].astype(vec.U) if counts is not None else np.zeros(len(h), vec.U)
+    if n < 1 << 20:
+        key = (line.astype(vec.U) << vec.U(44)) | (common << vec.U(24)) | (h & vec.U(0xFFFFFF))
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+    if n >= 1 << 20 or (same & (h[order[1:]] != h[order[:-1]])).any():
+        order = np.lexsort((h, h & vec.U(0xFFFFFF), common, line))  # the same order, ties of the short key resolved
+    h, line = h[order], line[order]
+    one = np.ones(len(h), bool)
+    one[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    return h[one], line[one]
 
 
 class Lines:
-    """Lines of a slice with at least MIN_WORDS distinct words: each one's distinct word hashes, rarest first if counts are given."""
+    """Lines of a slice that have words: each one's distinct word hashes, rarest first if counts are given."""
 
     def __init__(self, w: vec.Words, counts: np.ndarray | None = None):
         text, number = w.text, w.line()
         fresh = np.ones(len(text), bool)
         fresh[1:] = (text[1:] != text[:-1]) | (number[1:] != number[:-1])
         head = np.flatnonzero(fresh)
-        size = np.diff(np.append(head, len(text)))
-        long = np.flatnonzero(size >= MIN_WORDS)
-        word = np.repeat(head[long] - np.concatenate(([0], np.cumsum(size[long])[:-1])), size[long]) + np.arange(size[long].sum()) if len(long) else np.zeros(0, np.int64)
-        h, line = w.hash[word], np.repeat(np.arange(len(long)), size[long])
-        common = counts[(h >> vec.U(64 - TABLE_BITS)).astype(np.int64)].astype(vec.U) if counts is not None else np.zeros(len(h), vec.U)
-        if len(long) < 1 << 20:
-            key = (line.astype(vec.U) << vec.U(44)) | (common << vec.U(24)) | (h & vec.U(0xFFFFFF))
-            order = np.argsort(key)
-            same = key[order[1:]] == key[order[:-1]]
-        if len(long) >= 1 << 20 or (same & (h[order[1:]] != h[order[:-1]])).any():
-            order = np.lexsort((h, h & vec.U(0xFFFFFF), common, line))  # the same order, ties of the short key resolved
-        h, line = h[order], line[order]
-        one = np.ones(len(h), bool)
-        one[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-        h, line = h[one], line[one]
-        n = np.bincount(line, minlength=len(long))
-        fine = n >= MIN_WORDS
-        some = fine[line] if len(line) else np.zeros(0, bool)
-        self.h, self.n = h[some], n[fine]
-        self.text, self.number = text[head[long]][fine], number[head[long]][fine]
+        self.h, line = rarest_first(w.hash, np.cumsum(fresh) - 1, len(head), counts)
+        self.n = np.bincount(line, minlength=len(head))
+        self.text, self.number = text[head], number[head]
         self.off = np.concatenate(([0], np.cumsum(self.n)))
         self.s1 = vec.sums(vec.mix(self.h, 1), self.off)
 
@@ -163,116 +170,163 @@ def prefix(n: np.ndarray) -> np.ndarray:
     return n - -(-4 * n // 5) + 1
 
 
-def postings(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], of: vec.Bloom | None = None, words: vec.Bloom | None = None) -> DataFrame:
-    """A row per posted word: 40 bits of its hash (a collision only adds candidates), set size and place in the line as
-    one number, set hash, the line's place, and its parity; only those of lines ``of``, or of ``words``, where given."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+def _stretches(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers ``start, start + 1, ...``, n of each."""
+    return np.repeat(start - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+
+
+def posted(h: np.ndarray, off: np.ndarray, mine: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(40 bits of hash, line, place of the word) of all that lines ``mine`` post; lines' words are ``off[k]:off[k + 1]``."""
+    n = off[mine + 1] - off[mine]
+    mine, n = mine[n >= LEAST], n[n >= LEAST]
+    p = prefix(n)
+    word, line = _stretches(off[mine], p + 1), np.repeat(mine, p + 1)
+    hot = counts[(h[word] >> vec.U(64 - TABLE_BITS)).astype(np.int64)] >= HOT
+    last = np.zeros(len(word), bool)
+    last[np.cumsum(p + 1) - 1] = True
+    single = ~hot & ~last
+    out = [(h[word[single]], line[single], word[single])]
+    # the hot words of a prefix are its last ones
+    q = np.bincount(np.repeat(np.arange(len(mine)), p + 1)[hot], minlength=len(mine))
+    for k in np.unique(q[q > 1]).tolist():
+        some = np.flatnonzero(q == k)
+        a, b = np.triu_indices(k, 1)
+        first = off[mine[some]] + p[some] + 1 - k
+        for lo in range(0, len(some), max(1, (1 << 20) // len(a))):
+            at = first[lo : lo + max(1, (1 << 20) // len(a))]
+            x, y = (at[:, None] + a).ravel(), (at[:, None] + b).ravel()
+            out.append((vec.mix(h[x], 5) + vec.mix(h[y], 6), np.repeat(mine[some[lo : lo + len(at)]], len(a)), x))
+    t, line, word = (np.concatenate(x) for x in zip(*out, strict=True))
+    return t & vec.U((1 << 40) - 1), line, word - off[line]
+
+
+def postings(docs: DataFrame, counts: np.ndarray, words: vec.Bloom | None = None) -> DataFrame:
+    """A row per posted word or pair: the key (a collision of hashes only adds candidates), the line's place, and its set's
+    hash and parity, which together tell sets apart; only those of ``words`` where given."""
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
-        counts, seen = shared.value
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, buf, at in vec.slices(batch.column(1)):
-                x = Lines(vec.words(buf, at), counts)
-                # of equal sets within the batch, the earliest line posts
+                x = Lines(vec.words(buf, at), shared.value)
+                # of equal sets within the slice, the earliest line posts
                 order = np.lexsort((x.number, ids[lo + x.text]))
                 _, first = np.unique(x.s1[order], return_index=True)
-                mine = order[first]
-                b0, b1 = x.parity()
-                p = prefix(x.n[mine])
-                word = np.repeat(x.off[mine] - np.concatenate(([0], np.cumsum(p)[:-1])), p) + np.arange(p.sum()) if len(mine) else np.zeros(0, np.int64)
-                some = seen[(x.h[word] >> vec.U(64 - SEEN_BITS)).astype(np.int64)] > 1
-                line = np.repeat(mine, p)
-                if of is not None:
-                    some &= of.has(place(ids[lo + x.text], x.number))[line]
+                t, line, pos = posted(x.h, x.off, np.sort(order[first]), shared.value)
                 if words is not None:
-                    some &= words.has(x.h[word] & vec.U((1 << 40) - 1))
-                word, line = word[some], line[some]
-                yield pa.RecordBatch.from_arrays([pa.array((x.h[word] & vec.U((1 << 40) - 1)).astype(np.int64)), pa.array((x.n[line] << 24) | (word - x.off[line])), vec.signed(x.s1[line]), pa.array(ids[lo + x.text[line]]), pa.array(x.number[line].astype(np.int32)), vec.signed(b0[line]), vec.signed(b1[line])], ["t", "np", "s1", "doc_id", "line", "b0", "b1"])
+                    some = words.has(t)
+                    t, line, pos = t[some], line[some], pos[some]
+                b0, b1 = x.parity()
+                key = (t << vec.U(24)) | (np.minimum(x.n[line], TOP).astype(vec.U) << vec.U(12)) | np.minimum(pos, TOP).astype(vec.U)
+                own = (x.s1[line] >> vec.U(32) << vec.U(32)) | x.number[line].astype(vec.U)
+                yield pa.RecordBatch.from_arrays([vec.signed(key), vec.signed(own), pa.array(ids[lo + x.text[line]]), vec.signed(b0[line]), vec.signed(b1[line])], ["k", "sl", "doc_id", "b0", "b1"])
 
     return texts(docs).mapInArrow(run, POSTS)
 
 
-#: Survivors that are held before all but the earliest of each line and word are let go.
-HELD = 1 << 21
+#: Pairs that are looked at at once.
+BLOCK = 1 << 19
+
+
+#: How many words two sets differ in, most likely, whose parities of 64 or 128 bits differ in so many bits.
+_LIKELY = [-bits / 2 * np.log(np.maximum(1 - 2 * np.arange(bits + 1) / bits, 1e-9)) for bits in (64, 128)]
+
 
+def allowed(x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of rows may reach the threshold, as far as places in the orders and parities tell, and which are strong."""
+    ni, nj, pi, pj = x["n"][i], x["n"][j], x["pos"][i], x["pos"][j]
+    least = needed(ni + nj)
+    fine = np.minimum(ni - pi, nj - pj) + np.minimum(pi, pj) >= least
+    d0, d1 = x["b0"][i] ^ x["b0"][j], x["b1"][i] ^ x["b1"][j]
+    both = np.minimum(ni, nj) > LONG  # else the shorter line has all its bits in b0
+    differ = np.where(both, np.bitwise_count(d0).astype(np.int64) + np.bitwise_count(d1), np.bitwise_count(d0 ^ d1))
+    most = ni + nj - 2 * least
+    top = np.maximum(ni, nj) == TOP
+    return fine & (differ <= most) | top, (np.where(both, _LIKELY[1][differ], _LIKELY[0][np.minimum(differ, 64)]) <= 0.5 * most) & ~top
 
-def earliest(x: dict[str, np.ndarray], later: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The KEPT_PER_WORD earliest partners of each row, and which rows have lost some."""
-    order = np.lexsort((x["line"][earlier], x["doc_id"][earlier], later))
-    later, earlier = later[order], earlier[order]
-    first = np.flatnonzero(np.concatenate(([True], later[1:] != later[:-1])))
-    n = np.diff(np.append(first, len(later)))
-    early = np.arange(len(later)) - np.repeat(first, n) < KEPT_PER_WORD
-    return later[early], earlier[early], later[first[n > KEPT_PER_WORD]]
 
+def _ranks(i: np.ndarray) -> np.ndarray:
+    """Places within runs of equal numbers."""
+    if not len(i):
+        return i
+    first = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
+    return np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
 
-def survivors(x: dict[str, np.ndarray], wanted=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (later, earlier) of rows with equal ``t`` that pass the filters, and whether the later one has more.
 
-    Rows are sorted by t, then n.  All pairs of ``wanted`` rows are kept if
-    these are given, else the earliest of each row.
+def survivors(x: dict[str, np.ndarray], wanted: np.ndarray | None = None, strong_ones: int = STRONG, most: int = MOST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (later, earlier) of rows with equal ``t`` that pass the filters, and whether the later one may have more.
+
+    Rows are sorted by t, then n.  Of ``wanted`` rows all pairs are kept, if
+    these are given, else what the module's text says.
     """
-    i = np.arange(len(x["t"]) - 1)
-    later, earlier, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-    more = np.zeros(len(x["t"]), bool)
-    step = 1
-    while len(i):
-        j = i + step
-        i, j = i[j < len(x["t"])], j[j < len(x["t"])]
-        ni, nj = x["n"][i], x["n"][j]
-        on = (x["t"][i] == x["t"][j]) & (5 * ni >= 4 * nj)  # length filter; sorted, so a row that fails has no further partner
-        i, j, ni, nj = i[on], j[on], ni[on], nj[on]
-        pi, pj = x["pos"][i], x["pos"][j]
-        least = needed(ni + nj)
-        fine = np.minimum(ni - pi, nj - pj) + np.minimum(pi, pj) >= least  # positional filter
-        d0, d1 = x["b0"][i] ^ x["b0"][j], x["b1"][i] ^ x["b1"][j]
-        both = ni > LONG  # and so nj; else the shorter line has all its bits in b0
-        differ = np.where(both, np.bitwise_count(d0).astype(np.int64) + np.bitwise_count(d1), np.bitwise_count(d0 ^ d1))
-        fine &= (differ <= ni + nj - 2 * least) & (x["s1"][i] != x["s1"][j])
-        a, b = i[fine], j[fine]
-        swap = (x["doc_id"][a] < x["doc_id"][b]) | ((x["doc_id"][a] == x["doc_id"][b]) & (x["line"][a] < x["line"][b]))
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        if wanted is not None:
-            a, b = a[wanted[a]], b[wanted[a]]
-        later.append(a)
-        earlier.append(b)
-        held += len(a)
-        if wanted is None and held > HELD:
-            a, b, lost = earliest(x, np.concatenate(later), np.concatenate(earlier))
-            more[lost] = True
-            later, earlier, held = [a], [b], 0
-        step += 1
-    a, b = np.concatenate(later), np.concatenate(earlier)
-    if wanted is None and len(a):
-        a, b, lost = earliest(x, a, b)
-        more[lost] = True
-    return a, b, more[a]
+    rows = len(x["t"])
+    place_order = np.lexsort((x["line"], x["doc_id"]))
+    rank = np.empty(rows, np.int64)
+    d, k = x["doc_id"][place_order], x["line"][place_order]
+    rank[place_order] = np.cumsum(np.concatenate(([0], (d[1:] != d[:-1]) | (k[1:] != k[:-1]))))
+    group = np.cumsum(np.concatenate(([0], x["t"][1:] != x["t"][:-1]))) * (TOP + 1)
+    at = group + x["n"]
+    now = np.searchsorted(at, group + -(-4 * x["n"] // 5))  # length filter
+    to = np.searchsorted(at, group + np.minimum(5 * x["n"] // 4, TOP), "right")
+    strong, weak = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+    more = np.zeros(rows, bool)
+    active = np.arange(rows) if wanted is None else np.flatnonzero(wanted)
+    later, earlier, kind = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    while len(active := active[now[active] < to[active]]):
+        width = min(4096, max(1, BLOCK // len(active)))
+        n = np.minimum(to[active] - now[active], width)
+        i, j = np.repeat(active, n), _stretches(now[active], n)
+        now[active] += n
+        some = np.flatnonzero(rank[j] < rank[i])
+        i, j = i[some], j[some]
+        fine, close = allowed(x, i, j)
+        i, j, close = i[fine], j[fine], close[fine]
+        if wanted is None:
+            for of, seen, limit in ((close, strong, strong_ones), (~close, weak, most)):
+                a, b = i[of], j[of]
+                some = _ranks(a) + seen[a] < limit
+                seen += np.bincount(a, minlength=rows)
+                later.append(a[some])
+                earlier.append(b[some])
+                kind.append(np.full(some.sum(), of is close))
+            full = (strong[active] >= strong_ones) | (weak[active] >= most)
+            more[active[full & (now[active] < to[active])]] = True
+            active = active[~full]
+        else:
+            later.append(i)
+            earlier.append(j)
+            kind.append(close)
+    i, j, close = np.concatenate(later), np.concatenate(earlier), np.concatenate(kind)
+    if wanted is None:
+        more |= (strong > strong_ones) | (weak > most) | (strong > 0) & (weak > 0)
+        some = close | (strong[i] == 0)
+        i, j = i[some], j[some]
+    return i, j, more[i]
 
 
 def collapsed(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Of rows with equal word and set, the earliest; sorted by word, then set size."""
-    order = np.lexsort((x["line"], x["doc_id"], x["s1"], x["t"]))
+    order = np.lexsort((x["line"], x["doc_id"], x["s1"], x["n"], x["t"]))
     t, s = x["t"][order], x["s1"][order]
     one = np.ones(len(t), bool)
     one[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
-    order = order[one]
-    order = order[np.lexsort((x["n"][order], x["t"][order]))]
-    return {k: v[order] for k, v in x.items()}
+    return {k: v[order[one]] for k, v in x.items()}
 
 
 def candidates(posts: DataFrame, among: vec.Bloom | None = None) -> DataFrame:
-    """Surviving pairs per word: the earliest partner of each line and whether there are more, or all partners of lines in ``among``."""
-    names = ["t", "np", "s1", "doc_id", "line", "b0", "b1"]
+    """Surviving pairs per word: some partners of each line and whether there may be more; or all partners of lines in ``among``."""
+    names = ["k", "sl", "doc_id", "b0", "b1"]
 
     def pairs(batches):
         x = {k: pa.concat_arrays([b.column(c) for b in batches]).to_numpy() for c, k in enumerate(names)}
-        x["n"], x["pos"] = x["np"] >> 24, x["np"] & 0xFFFFFF
-        x = collapsed(x)
+        x["t"], x["n"], x["pos"], x["line"] = x["k"] >> 24, x["k"] >> 12 & TOP, x["k"] & TOP, x["sl"] & 0xFFFFFFFF
         x["b0"], x["b1"] = x["b0"].view(vec.U), x["b1"].view(vec.U)
+        x["s1"] = vec.mix(x["sl"].view(vec.U) >> vec.U(32), 4) + vec.mix(x["b0"], 5) + vec.mix(x["b1"], 6)
+        x = collapsed(x)
         wanted = None if among is None else among.has(place(x["doc_id"], x["line"]))
         later, earlier, more = survivors(x, wanted)
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in (x["doc_id"][later], x["line"][later], x["doc_id"][earlier], x["line"][earlier], more)], ["doc_id", "line", "e_doc", "e_line", "more"])
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (x["doc_id"][later], x["line"][later].astype(np.int32), x["doc_id"][earlier], x["line"][earlier].astype(np.int32), more)], ["doc_id", "line", "e_doc", "e_line", "more"])
 
     def run(batches):
         held, rows = [], 0
@@ -281,7 +335,7 @@ def candidates(posts: DataFrame, among: vec.Bloom | None = None) -> DataFrame:
                 continue
             held.append(batch)
             rows += batch.num_rows
-            t = batch.column(0).to_numpy()
+            t = batch.column(0).to_numpy() >> 24
             if rows < 100_000 or t[0] == t[-1]:
                 continue
             cut = int(np.searchsorted(t, t[-1]))  # the last word may go on
@@ -291,7 +345,7 @@ def candidates(posts: DataFrame, among: vec.Bloom | None = None) -> DataFrame:
         if held:
             yield pairs(held)
 
-    return posts.repartition("t").sortWithinPartitions("t").mapInArrow(run, PAIRS)
+    return posts.repartition(F.shiftright("k", 24)).sortWithinPartitions("k").mapInArrow(run, PAIRS)
 
 
 def place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -299,9 +353,9 @@ def place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
     return vec.mix(vec.mix(doc_id.astype(np.int64).view(vec.U), 7) + line.astype(np.int64).view(vec.U), 8)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(doc_id, line)`` of lines with a partner in ``pairs`` at the threshold."""
-    pairs = pairs.select("doc_id", "line", "e_doc", "e_line").distinct()
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, line)`` of lines with a partner in ``pairs`` at the threshold, and the sets ``(doc_id, line, s)`` of all lines in pairs."""
+    pairs = scratch.table(pairs.select("doc_id", "line", "e_doc", "e_line").distinct(), "line-pairs")
     places = scratch.table(pairs.select(F.explode(F.array(F.struct("doc_id", "line"), F.struct(F.col("e_doc").alias("doc_id"), F.col("e_line").alias("line")))).alias("x")).select("x.doc_id", "x.line").distinct(), "line-places")
 
     def hashed(batches):
@@ -322,7 +376,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     sets = scratch.table(texts(docs).mapInArrow(run, "doc_id bigint, line int, s array<bigint>").join(places, ["doc_id", "line"], "left_semi"), "line-sets")
     x = pairs.join(sets, ["doc_id", "line"]).join(sets.select(F.col("doc_id").alias("e_doc"), F.col("line").alias("e_line"), F.col("s").alias("es")), ["e_doc", "e_line"])
     both = F.size(F.array_intersect("s", "es"))
-    return x.where(5 * both >= 4 * (F.size("s") + F.size("es") - both)).select("doc_id", "line").distinct()
+    return x.where(5 * both >= 4 * (F.size("s") + F.size("es") - both)).select("doc_id", "line").distinct(), sets
 
 
 def removed(docs: DataFrame) -> DataFrame:
@@ -333,30 +387,36 @@ def removed(docs: DataFrame) -> DataFrame:
 
 def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scan = scanned(docs, scratch)
-    tables = word_tables(scan)
-    posts = postings(docs, tables)
-    found = scratch.table(candidates(posts), "line-candidates")
-    near = scratch.table(verified(found, docs, scratch), "line-matches")
-    open_ = found.where("more").select("doc_id", "line").distinct().join(near, ["doc_id", "line"], "left_anti")
-    open_ = scratch.table(open_, "line-open")
+    counts = word_counts(scan)
+    found = scratch.table(candidates(postings(docs, counts)), "line-candidates")
+    near, sets = verified(found, docs, scratch)
+    near = scratch.table(near, "line-matches")
+    open_ = scratch.table(found.where("more").select("doc_id", "line").distinct().join(near, ["doc_id", "line"], "left_anti"), "line-open")
     if not open_.isEmpty():
+        shared = docs.sparkSession.sparkContext.broadcast(counts)
 
         def hashed(batches):
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([vec.signed(place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["h"])
 
+        def keys(batches):
+            for batch in batches:
+                lists = batch.column(0)
+                n = np.diff(lists.offsets.to_numpy())
+                h, line = rarest_first(lists.flatten().to_numpy().view(vec.U), np.repeat(np.arange(len(n)), n), len(n), shared.value)
+                t, _, _ = posted(h, np.concatenate(([0], np.cumsum(n))), np.arange(len(n)), shared.value)
+                yield pa.RecordBatch.from_arrays([vec.signed(np.unique(t))], ["t"])
+
         of = vec.bloom_of(open_.mapInArrow(hashed, "h bigint"), "h", 26)
-        words = scratch.table(postings(docs, tables, of=of).select("t").distinct(), "line-words")
-        rest = candidates(postings(docs, tables, words=vec.bloom_of(words, "t", 26)), of).join(open_, ["doc_id", "line"], "left_semi")
-        near = near.unionAll(verified(scratch.table(rest, "line-rest"), docs, scratch)).distinct()
+        words = scratch.table(sets.join(open_, ["doc_id", "line"], "left_semi").select("s").mapInArrow(keys, "t bigint").distinct(), "line-words")
+        rest = candidates(postings(docs, counts, words=vec.bloom_of(words, "t", 26)), of).join(open_, ["doc_id", "line"], "left_semi")
+        near = near.unionAll(verified(scratch.table(rest, "line-rest"), docs, scratch)[0]).distinct()
+    # of equal sets all but the first go; sets whose first line has an earlier match are among the matches
     every = scan.where("line is not null").select("doc_id", "line", "s1", "s2")
-    # equal sets: all but the first; sets whose first line has an earlier match: that one too
-    firsts = every.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
-    hit = F.col("m_doc").isNotNull()
-    near = near.select(F.col("doc_id").alias("m_doc"), F.col("line").alias("m_line"))
-    firsts = firsts.join(near, (F.col("first.doc_id") == F.col("m_doc")) & (F.col("first.line") == F.col("m_line")), "left").where((F.col("n") > 1) | hit)
-    firsts = firsts.select(F.col("s1").alias("f1"), F.col("s2").alias("f2"), F.col("first.doc_id").alias("f_doc"), F.col("first.line").alias("f_line"), hit.alias("hit"))
-    gone = every.join(firsts, (F.col("s1") == F.col("f1")) & (F.col("s2") == F.col("f2"))).where(F.col("hit") | (F.col("doc_id") != F.col("f_doc")) | (F.col("line") != F.col("f_line")))
+    firsts = every.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    which = F.col("s1").bitwiseAND(0x7FFFFFFF).cast("int").alias("s")  # tells the sets of rows that repeat a doc_id apart
+    firsts = firsts.select("first.doc_id", "first.line", which)
+    gone = near.unionAll(every.select("doc_id", "line", which).join(firsts, ["doc_id", "line", "s"], "left_anti").select("doc_id", "line"))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
 
 
