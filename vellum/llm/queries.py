@@ -103,7 +103,8 @@ WITH d AS (SELECT doc_id, concat(concat_ws('/', source, lang, doc_id::VARCHAR),
 a AS (SELECT * FROM d WHERE regexp_matches(text, '{anchor}')),
 u AS (SELECT doc_id, path, false AS whole, unnest(string_split(text, chr(10))) AS t FROM a
   UNION ALL SELECT doc_id, path, false, p FROM (SELECT doc_id, path, unnest(regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 ')) AS p FROM a) WHERE contains(trim(p), chr(10))
   UNION ALL SELECT doc_id, path, true, text FROM a),
 n AS (SELECT *, row_number() OVER () AS unit FROM u WHERE regexp_matches(t, '{anchor}')),
@@ -117,7 +118,7 @@ s AS (SELECT doc_id, path, whole, license, round(sum(v.x * y) / any_value(norm)
   FROM c JOIN v ON c.word = v.word JOIN m ON c.unit = m.unit GROUP BY doc_id, path, whole, c.unit, license, template),
 f AS (SELECT * FROM s WHERE score >= {l.THRESHOLD}),
 h AS (SELECT doc_id, path, min((-score, license)) AS b FROM f GROUP BY doc_id, path),
-g AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, min((-score, license)) AS b FROM f WHERE whole AND score >= {l.WHOLE} GROUP BY 1),
+g AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, min((-score, license)) AS b FROM f WHERE regexp_matches(path, '{l.FILES}') OR (whole AND score >= {l.WHOLE}) GROUP BY 1),
 x AS (SELECT d.doc_id, d.path, g.dir, g.b, row_number() OVER (PARTITION BY d.doc_id, d.path ORDER BY length(g.dir) DESC) AS k FROM d JOIN g ON starts_with(d.path, g.dir || '/'))
 SELECT d.doc_id, d.path, coalesce(h.b[2], x.b[2]) AS license, CASE WHEN h.b IS NOT NULL THEN 'header' WHEN x.b IS NOT NULL THEN 'inherited' END AS how,
   -coalesce(h.b[1], x.b[1]) AS score, CASE WHEN h.b IS NULL THEN x.dir END AS declared_in
@@ -130,16 +131,23 @@ _W = r"[^\x20\x09-\x0D]+"
 
 def _sql_op9() -> str:
     rules = quality_rules.RULES
-    ratios = "\nUNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {slack} AS slack, 1000 * {a} // greatest({b}, 1) AS v FROM s WHERE n_words > 0" for r, (a, b, slack) in rules.items())
-    quantile = lambda p, by: f"min(bin) FILTER (seen * 100 >= docs * {p})"
+    values = {r: f"greatest({x[0].replace(' div ', ' // ')}, 1)" for r, x in rules.items()}
+    listed = "\nUNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {v} AS v FROM s WHERE n_words > 0" for r, v in values.items())
+    quantile = lambda p: f"(min(bin) FILTER (seen * 100 >= docs * {p}))::DOUBLE"
+    power = lambda x, op, k: " ".join([x, *[f"{op} r"] * (k // 2), *[f"{op} sqrt(r)"] * (k % 2)])
+    upper = "CASE rule " + " ".join(f"WHEN '{r}' THEN {power('q3', '*', x[1])}" for r, x in rules.items()) + " END"
+    below = "CASE rule " + " ".join(f"WHEN '{r}' THEN {power('q1', '/', x[1])}" for r, x in rules.items() if x[3]) + " ELSE 0 END"
+    tight = "CASE rule " + " ".join(f"WHEN '{r}' THEN {x[2]}" for r, x in rules.items()) + " END"
     def fence(name: str, by: str) -> str:
         keys = f"{by}, " if by else ""
-        return f"""{name} AS (SELECT {keys}rule, max(docs) AS docs, greatest(any_value(slack), {quantile(75, by)} + {quality_rules.SPREAD} * ({quantile(75, by)} - {quantile(50, by)})) AS fence
-  FROM (SELECT {keys}rule, slack, bin, sum(n) OVER (PARTITION BY {keys}rule ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY {keys}rule) AS docs
-    FROM (SELECT {keys}rule, slack, bin, count(*) AS n FROM v GROUP BY ALL)) GROUP BY {keys}rule)"""
+        return f"""{name} AS (SELECT {keys}rule, docs, {upper} AS fence, {below} AS least FROM (SELECT *, greatest(q3 / q1, {tight}::DOUBLE) AS r FROM (
+  SELECT {keys}rule, max(docs) AS docs, {quantile(25)} AS q1, {quantile(75)} AS q3
+  FROM (SELECT {keys}rule, bin, sum(n) OVER (PARTITION BY {keys}rule ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY {keys}rule) AS docs
+    FROM (SELECT {keys}rule, bin, count(*) AS n FROM v GROUP BY ALL)) GROUP BY {keys}rule)))"""
     drop = f"greatest(length(bin(v)) - {quality_rules.BITS}, 0)"
-    picked = f"least(CASE WHEN g.docs >= {quality_rules.LEAST} THEN g.fence WHEN l.docs >= {quality_rules.LEAST} THEN l.fence ELSE w.fence END, {quality_rules.CEILING} * w.fence)"
-    fine = " AND ".join(f"1000 * {a} // greatest({b}, 1) <= coalesce(max_{r}, 0)" for r, (a, b, _) in rules.items())
+    pick = lambda c: f"CASE WHEN g.docs >= {quality_rules.LEAST} THEN g.{c} WHEN l.docs >= {quality_rules.LEAST} THEN l.{c} ELSE w.{c} END"
+    highest, lowest = f"least({pick('fence')}, {quality_rules.CEILING} * w.fence)", f"greatest({pick('least')}, w.least / {quality_rules.CEILING})"
+    fine = " AND ".join(f"{v} BETWEEN min_{r} AND max_{r}" for r, v in values.items())
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, '{_W}') AS ws FROM d),
@@ -152,14 +160,14 @@ s AS (SELECT d.doc_id, lang, source, len(ws)::BIGINT AS n_words, coalesce(list_s
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines
   FROM d JOIN w USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN z USING (doc_id)),
-u AS ({ratios}),
-v AS (SELECT lang, source, rule, slack, ((v >> {drop}) << {drop}) AS bin FROM u),
+u AS ({listed}),
+v AS (SELECT lang, source, rule, ((v >> {drop}) << {drop}) AS bin FROM u),
 {fence("fg", "lang, source")}, {fence("fl", "lang")}, {fence("fw", "")},
-t AS (SELECT g.lang, g.source, {", ".join(f"max({picked}) FILTER (g.rule = '{r}') AS max_{r}" for r in rules)}
+t AS (SELECT g.lang, g.source, {", ".join(f"max({x}) FILTER (g.rule = '{r}') AS {m}_{r}" for r in rules for m, x in (("max", highest), ("min", lowest)))}
   FROM fg g JOIN fl l ON g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule JOIN fw w ON g.rule = w.rule GROUP BY g.lang, g.source)
 SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-  (NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND {fine}) AS kept
+  CASE WHEN n_words < 50 OR 100 * n_repeat_words > 50 * n_words THEN false ELSE coalesce({fine}, false) END AS kept
 FROM s LEFT JOIN t ON s.lang IS NOT DISTINCT FROM t.lang AND s.source IS NOT DISTINCT FROM t.source
 """
 
