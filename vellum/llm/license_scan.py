@@ -10,8 +10,9 @@ summed per unit and template.  Before that a second exact filter drops units
 with too few template words among their words, so hardly anything but licence
 notices is ever shuffled.
 
-A file whose name says licence, or whose whole text is a template, declares
-its directory.  Files without a licence of their own take the nearest
+A file whose name says licence declares its directory by its best unit (long
+licences hold the notice that they ask for, or a paragraph of their own, among
+their units); so does one whose whole text is a template.  Files without a licence of their own take the nearest
 declaring ancestor's: distinct directories are expanded to their ancestors and
 joined by path, then files join their directory's result.
 
@@ -38,18 +39,32 @@ THRESHOLD = 6000
 #: Whole texts from here on declare their directory whatever their name.
 WHOLE = 8000
 
+_AS_IS = "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_END = "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage."
+
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", f"Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_AS_IS}"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD-3-Clause", f"{_BSD} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. {_BSD_END}"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", f"{_BSD} {_BSD_END}"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness. In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GFDL-1.3", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation; with no Invariant Sections, no Front-Cover Texts, and no Back-Cover Texts."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -57,6 +72,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License."),
+    ("CC0-1.0", "CC0 1.0 Universal. Statement of Purpose. The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an owner) of an original work of authorship and/or a database (each, a Work)."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
 )
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
@@ -64,7 +80,7 @@ FILES = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 
 
 #: Common words weigh nothing, in templates as in texts.
-STOP = sorted(set("the a an of and or in to this that is are be by any all with without for at as you it on under not may except shall can its their from following above either your".split()))
+STOP = sorted(set("the a an of and or in to this that is are be by any all with without for at as you it on under not may except shall can its their from following above either your no but out other each most whether must world throughout below how".split()))
 
 
 def words_of(text: str) -> list[str]:
@@ -143,7 +159,7 @@ def cosines(docs: DataFrame) -> DataFrame:
     """``(row, whole, license, score)``: the best template of each unit at the threshold."""
     spark = docs.sparkSession
     tokens = units(docs).select("row", "unit", "whole", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), F.lit(1))).alias("word")).where(~F.col("word").isin(*STOP))
-    counts = tokens.groupBy("row", "unit", "whole", "word").agg(F.count("*").alias("tf"))
+    counts = materialize(tokens.groupBy("row", "unit", "whole", "word").agg(F.count("*").alias("tf")), "license-words")  # texts are scanned once
     weighed = counts.join(F.broadcast(idf_table(spark)), F.col("word") == F.col("w"), "left").withColumn("y", F.col("tf") * F.coalesce("idf", F.lit(UNKNOWN)))  # the idf table is a constant
     norm = weighed.groupBy("row", "unit", "whole").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm"))
     dots = weighed.join(F.broadcast(weights_table(spark)), "word").groupBy("row", "unit", "whole", "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
@@ -174,7 +190,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     # directories that declare a licence
     path = F.col("row.path")
-    declares = F.col("whole") & (path.rlike(FILES) | (F.col("score") >= WHOLE))
+    declares = path.rlike(FILES) | (F.col("whole") & (F.col("score") >= WHOLE))
     declared = found.where(declares & path.isNotNull()).groupBy(parent(path).alias("d_dir")).agg(_best().alias("b")).select("d_dir", F.col("b.license").alias("d_license"), (-F.col("b.minus")).alias("d_score"))
 
     # distinct directories, their ancestors, and the nearest that declares
