@@ -8,6 +8,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vellum.llm import components, decontaminate, license_scan, line_dedup, near_dedup, quality_bayes, quality_rules, queries, toxicity
@@ -98,6 +99,33 @@ def test_tuning():
     assert (0, 4) not in [x[:2] for x in far]
 
 
+def test_recall_of_the_bands():
+    """Pairs at the very threshold, of equal sizes up to the largest ratio, share a band with a chance of at least 0.9; nearly all that are much alike do."""
+    rnd = np.random.default_rng(7)
+    low = [20, 60, 100, 200, 400]
+    bands = near_dedup.banding(low)
+    part = lambda n: int(np.searchsorted(low, n, "right")) - 1
+
+    def met(n, m, both):
+        x = rnd.integers(0, 1 << 63, n + m, np.uint64)
+        a, b = near_dedup.signature(np.sort(x[:n])), near_dedup.signature(np.sort(np.concatenate([x[:both], x[n : n + m - both]])))
+        p, q = bands[part(n)], bands[part(m)]
+        return any((a[k * r : k * r + r] == b[k * r : k * r + r]).all() for r in set(p) & set(q) for k in range(min(p[r], q[r])))
+
+    for n, m in ((100, 100), (100, 124), (190, 230), (320, 400)):
+        assert np.mean([met(n, m, math.ceil(0.8 * n)) for _ in range(300)]) >= 0.9
+    assert all(met(200, 210, 195) for _ in range(300))
+    assert np.mean([met(200, 220, 20) for _ in range(300)]) <= 0.05
+
+
+def test_repeated_ids_put_their_texts_in_one_class(spark):
+    rnd = random.Random(17)
+    a, b, c = (prose(rnd, 50) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (5, a), (5, b), (2, b), (3, c), (3, c), (4, " ".join(c.split()[:25])), (6, None)], "doc_id bigint, text string")
+    rows = sorted((r.doc_id, r.class_id) for r in near_dedup.classes(docs).collect())
+    assert rows == [(1, 1), (2, 1), (3, 3), (3, 3), (4, 4), (5, 1), (5, 1), (6, 6)]  # 4 is half of 3: no near copy of it
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
@@ -118,7 +146,7 @@ def brute_lines(texts):
     for d, t in enumerate(texts):
         for k, line in enumerate(t.split("\n")):
             s = frozenset(line.split())
-            if len(s) < line_dedup.MIN_WORDS:
+            if not s:
                 continue
             if any(5 * len(s & x) >= 4 * len(s | x) for x in seen):
                 gone.add((d, k))
@@ -147,14 +175,57 @@ def test_lines_equal_brute_force(spark):
 
 
 def test_lines_open_after_the_first_pass(spark, monkeypatch):
-    """With one survivor per line and word kept, a line whose earliest one fails is joined again."""
-    monkeypatch.setattr(line_dedup, "KEPT_PER_WORD", 1)
+    """A line whose first partners fail, though there are more, is joined again with all of them."""
+    first = line_dedup.verified
+    calls = []
+
+    def failing(pairs, docs, scratch):
+        near, sets = first(pairs, docs, scratch)
+        calls.append(1)
+        return (near.where("false"), sets) if len(calls) == 1 else (near, sets)
+
     rnd = random.Random(15)
     texts = []
     for _ in range(40):
         base = prose(rnd, 30, 300).split()
-        texts += [" ".join(base[: 30 - k] + [f"v{rnd.randrange(10**6)}" for _ in range(k)]) for k in (4, 3, 2, 1, 0)]
-    assert {(r.doc_id, k) for r in line_dedup.report(documents(spark, texts)).collect() for k in r.removed_lines} == brute_lines(texts)
+        texts += [" ".join(base[: 30 - k] + [f"v{rnd.randrange(10**6)}" for _ in range(k)]) for k in (2, 1, 1, 2, 1, 0)]
+    expected = brute_lines(texts)
+    monkeypatch.setattr(line_dedup, "verified", failing)
+    found = {(r.doc_id, k) for r in line_dedup.report(documents(spark, texts)).collect() for k in r.removed_lines}
+    assert len(calls) == 2
+    assert found <= expected
+    assert len(found) > 100
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 40, 1])
+def test_postings_and_filters_lose_nothing(monkeypatch, hot):
+    """All pairs at the threshold share a posted word, or pair of hot words, and pass the filters; lines of a group of near copies look at few pairs."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rnd = random.Random(hot)
+    bases = [prose(rnd, rnd.randrange(4, 90), 60) for _ in range(25)]
+    texts = [edited(rnd, rnd.choice(bases), rnd.choice([0.01, 0.05, 0.1])) for _ in range(150)] + ["a third of all lines hold this", *(prose(rnd, k, 5) for k in range(1, 9))]
+    buf, at = next(line_dedup.vec.slices(pa.array(["\n".join(texts)])))[2:]
+    w = line_dedup.vec.words(buf, at)
+    counts = np.bincount((w.hash >> np.uint64(44)).astype(np.int64), minlength=1 << 20).astype(np.int32)
+    x = line_dedup.Lines(w, counts)
+    t, line, pos = line_dedup.posted(x.h, x.off, np.arange(len(x.n)), counts)
+    order = np.lexsort((x.n[line], t))
+    t, line, pos = t[order], line[order], pos[order]
+    b0, b1 = x.parity()
+    rows = {"t": t.view(np.int64), "n": x.n[line], "pos": pos, "doc_id": np.zeros(len(t), np.int64), "line": x.number[line], "s1": x.s1[line].view(np.int64), "b0": b0[line], "b1": b1[line]}
+    i, j, _ = line_dedup.survivors(rows, np.ones(len(t), bool))
+    found = set(zip(rows["line"][i].tolist(), rows["line"][j].tolist(), strict=True))
+    sets = [frozenset(v.split()) for v in texts]
+    similar = {(b, a) for b in range(len(sets)) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and sets[a] != sets[b]}
+    assert similar <= found
+    assert len(similar) > 100
+    i, j, more = line_dedup.survivors(rows)
+    some = set(zip(rows["line"][i].tolist(), rows["line"][j].tolist(), strict=True))
+    assert some <= found
+    closed = {b for b, a in some & similar}
+    open_ = set(rows["line"][i[more]].tolist())
+    assert {b for b, _ in similar} <= closed | open_
+    assert len(some) < len(found)
 
 
 # ---- benchmark ----
@@ -170,15 +241,59 @@ def test_decontamination(spark):
     texts = [around(ITEM), around(moved), around(torn), prose(rnd, 200), around(" ".join(ITEM.split()[:12])), around(" ".join(ITEM.split()[3:20])), ITEM]
     benchmark = spark.createDataFrame([(0, ITEM, "x"), (1, None, "x"), (2, "too short", "x"), (None, ITEM, "x"), (3, prose(rnd, 9), "x")], "item_id bigint, text string, t string")
     rows = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(documents(spark, texts), benchmark).collect()}
-    assert set(rows) == {(0, 0), (1, 0), (5, 0), (6, 0)}
+    assert set(rows) == {(0, 0), (1, 0), (2, 0), (5, 0), (6, 0)}  # 2: verbatim but for one of two places of a number
     assert (rows[0, 0].exact, rows[1, 0].exact, rows[6, 0].exact) == (True, False, True)
     kept = decontaminate.clean(documents(spark, texts), benchmark)
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [2, 3, 4, 901, 902, 903]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 4, 901, 902, 903]
     assert kept.columns == documents(spark, texts).columns
     assert decontaminate.contaminated(documents(spark, texts), benchmark.limit(0)).count() == 0
     assert decontaminate.contaminated(documents(spark, []).limit(0), benchmark).count() == 0
 
 
+def test_decontamination_equals_brute_force(spark):
+    """Random items of few words with many slots, in documents that tear, refill and cut them."""
+    rnd = random.Random(31)
+    plain = [f"p{c}" for c in "abcdefghijkl"]
+
+    def item():
+        return [str(rnd.randrange(20, 24)) if rnd.random() < 0.25 else rnd.choice(plain) for _ in range(rnd.randrange(10, 30))]
+
+    items = [item() for _ in range(12)]
+    docs = []
+    for _ in range(150):
+        words = list(rnd.choice(items))
+        kind, moved = rnd.randrange(4), {str(x): str(rnd.randrange(20, 28)) for x in range(20, 24)}
+        if kind == 1:
+            words = [moved.get(w, w) for w in words]
+        elif kind == 2:
+            words = [str(rnd.randrange(20, 28)) if w.isdigit() else w for w in words]
+        if kind:
+            for _ in range(rnd.randrange(3)):
+                words[rnd.randrange(len(words))] = rnd.choice([*plain, "25"])
+        docs.append(["qa"] * rnd.randrange(4) + words[rnd.randrange(4) :] + ["qb"] * 3)
+
+    def found(doc, of):
+        at = [k for k in range(len(of) - 7)]
+        strong = {k: sum(not w.isdigit() for w in of[k : k + 8]) >= 4 for k in at}
+        best: set[int] = set()
+        very = {k for k in at if (not strong[k] or k == 0) and any(doc[d : d + 8] == of[k : k + 8] for d in range(len(doc) - 7))}
+        for offset in range(-len(of), len(doc)):
+            run = [k for k in at if strong[k] and 0 <= k + offset <= len(doc) - 8 and all(a == b or (a.isdigit() and b.isdigit()) for a, b in zip(of[k : k + 8], doc[k + offset : k + offset + 8], strict=True))]
+            pairs = {k: {(a, b) for a, b in zip(of[k : k + 8], doc[k + offset : k + offset + 8], strict=True) if a.isdigit()} for k in run}
+            fine = lambda ks: len(u := set().union(*(pairs[k] for k in ks))) == len({a for a, _ in u})  # noqa: B023, E731
+            longest = max((run[x:y] for x in range(len(run)) for y in range(x + 1, len(run) + 1) if fine(run[x:y])), key=lambda ks: (ks[-1] - ks[0], -ks[0]), default=[])
+            best |= set(longest) | {k for k in run if doc[k + offset : k + offset + 8] == of[k : k + 8]}
+        best |= very
+        templates = {k for k in at if strong[k]}
+        return len({k + j for k in best for j in range(8)}) >= 13 or best >= set(at) or bool(templates) and best >= templates
+
+    expected = {(d, k) for d, doc in enumerate(docs) for k, of in enumerate(items) if found(doc, of)}
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")
+    rows = decontaminate.contaminated(documents(spark, [" ".join(w) for w in docs], extra=False), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == expected
+    assert 50 < len(expected) < 150
+
+
 def test_decontamination_with_values_that_fall_together(spark):
     """Unit plurals are one value, and two values of the item may meet the same one of the document."""
     item = "the slow train waits 1 hour at the old bridge and then waits another 2 hours near the small harbour before it leaves for 3 days"
@@ -221,7 +336,9 @@ def test_counts():
     rnd = random.Random(2)
     for _ in range(500):
         t = "".join(rnd.choices("ab #|\n\té", k=rnd.randrange(80)))
-        assert quality_rules.counts_of(t) == brute_counts(t)
+        assert tuple(quality_rules.counts_of(pa.array([t]))[0]) == brute_counts(t)
+    texts = ["".join(rnd.choices("ab #|\n\té", k=rnd.randrange(80))) for _ in range(300)] + [None, "", "x " * 300_000]
+    assert [tuple(x) for x in quality_rules.counts_of(pa.array(texts))] == [brute_counts(t or "") for t in texts]
 
 
 def test_quality_rules(spark):
@@ -258,7 +375,9 @@ def test_equals_sql(spark, name):
 def cosine(text):
     l = license_scan  # noqa: E741
     best = []
-    for unit in {*text.split("\n"), text}:
+    import re
+
+    for unit in {*text.split("\n"), text, *(p for p in re.split(r"\n[ \t\r]*\n", text) if "\n" in p.strip())}:
         c = collections.Counter(l.words_of(unit))
         y = {w: n * l.IDF.get(w, l.UNKNOWN) for w, n in c.items()}
         norm = math.sqrt(sum(v * v for v in y.values()))
@@ -269,7 +388,7 @@ def cosine(text):
 
 def test_licenses(spark):
     rows = [
-        (1, "a/LICENSE", license_scan.TEMPLATES[3][1]), (2, "a/b/x.py", "code here"), (3, "a/b/c/y.py", "# Licensed under the Apache License, Version 2.0.\nmore code"), (4, "a/b/LICENSE.txt", "Licensed under CC BY-NC 4.0."),
+        (1, "a/LICENSE", dict(license_scan.TEMPLATES)["MIT"]), (2, "a/b/x.py", "code here"), (3, "a/b/c/y.py", "# Licensed under the Apache License, Version 2.0.\nmore code"), (4, "a/b/LICENSE.txt", "Licensed under CC BY-NC 4.0."),
         (5, "z/q.txt", "nothing"), (6, None, "Released under the MIT License."), (7, "a/z", None), (8, "", "x"), (2, "a/b/x.py", "code here"), (9, "top", "y"), (10, "a/b/w", "a license of the work to copy " + "word " * 50),
     ]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, path string, text string, license int")
@@ -283,6 +402,21 @@ def test_licenses(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+COMMON = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no licence texts on this machine")
+def test_standard_licence_files_declare_their_folders(spark):
+    """Whole licence texts, as distributions carry them, declare the folders that they lie in."""
+    names = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "GFDL-1.3": "GFDL-1.3"}
+    names = {k: v for k, v in names.items() if os.path.isfile(f"{COMMON}/{k}")}
+    rows = [x for k, n in enumerate(names) for x in ((k, f"{n}/LICENSE", open(f"{COMMON}/{n}", encoding="utf-8", errors="replace").read()), (100 + k, f"{n}/src/a.c", "int main;"))]
+    rows += [(200, "isc/COPYING", f"Copyright x\n\n{dict(license_scan.TEMPLATES[::-1])['ISC']}"), (201, "isc/y", "z"), (202, "two/LICENSE.md", license_scan._BSD + "\n\n" + license_scan._BSD_END), (203, "two/y", "z")]
+    got = {r.doc_id: (r.license, r.how) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string")).collect()}
+    assert {n: got[100 + k] for k, n in enumerate(names)} == {n: (v, "inherited") for n, v in names.items()}
+    assert (got[201], got[203]) == (("ISC", "inherited"), ("BSD-2-Clause", "inherited"))
+
+
 def test_anchors_lose_nothing(spark):
     """Every unit at the threshold holds an anchor, and the scores are those of plain arithmetic."""
     import re
@@ -346,6 +480,38 @@ def test_quality_classifier(spark):
     assert quality_bayes.scored(docs.limit(0), labels).count() == 0
 
 
+def test_quality_from_text_to_score(spark):
+    """Against plain arithmetic over whole texts; a rich bad site moves a doubtful document, a sparse one hardly does."""
+    rnd = random.Random(21)
+    rows = []
+    for k in range(400):
+        host, junk = ("bad", k % 8 > 0) if k % 2 else ("fine", k % 16 == 0)
+        text = prose(rnd, 60 + k % 50)
+        words = text.split()
+        for j in range(rnd.randrange(12, 40) if junk else rnd.randrange(8)):
+            words[rnd.randrange(len(words))] += "%" * (1 + j % 3)
+        rows.append((k, " ".join(words), host, f"p{k % 3}", int(not junk)))
+    doubtful = " ".join(w + ("%%" if k % 9 == 0 else "") for k, w in enumerate(prose(rnd, 90).split()))
+    rows += [(1000, doubtful, "bad", "p0", None), (1001, doubtful, "rare", "p0", None), (1002, doubtful, "fine", "p0", None), (1003, None, None, None, None)]
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id bigint, text string, host string, path string")
+    labels = spark.createDataFrame([(r[0], r[4]) for r in rows if r[4] is not None] + [(7, 1 - rows[7][4])], "doc_id bigint, quality int")
+    got = {r.doc_id: r for r in quality_bayes.scored(docs, labels).collect()}
+
+    def rates(text):
+        n, chars, symbols, dup, repeats, lines = brute_counts(text or "")
+        return [math.log((symbols + 1) / (chars + 1)), math.log((dup + 1) / (lines + 1)), math.log((repeats + 1) / (n + 1)), math.log(1 + n), min(chars / max(n, 1), 20) / 10]
+
+    x = np.array([rates(r[1]) for r in rows])
+    some = [k for k, r in enumerate(rows) if r[4] is not None and r[0] != 7]  # 7 has both labels
+    beta = quality_bayes.fitted(x[some], np.array([rows[k][4] for k in some], float))
+    p = 1 / (1 + np.exp(-(np.column_stack([np.ones(len(x)), x]) @ beta)))
+    assert [got[r[0]].doc_score for r in rows] == pytest.approx(list(p), rel=1e-6)
+    score, post = {k: got[k].score for k in got}, {k: got[k].path_post for k in got}
+    assert score[1000] < score[1001] < score[1002]
+    theta = (p.sum() + 1) / (len(p) + 2)
+    assert abs(post[1001] - theta) < 0.2 * abs(post[1000] - theta)
+
+
 # ---- toxicity ----
 
 

@@ -131,6 +131,13 @@ def test_segments_equal_python(spark):
         assert tuple(rows[conv]) == (conv, len(own), hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in own).encode()).hexdigest(), len(said), hashlib.sha256(said.encode()).hexdigest(), len(whole[conv]))
 
 
+def test_no_conversations(spark):
+    none = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string, role_ string")
+    assert chat.digest(chat.segments(chat.turns_of_table(none))).count() == 0
+    assert chat.conversations(chat.segments(chat.turns_of_table(none))).count() == 0
+    assert chat.turns_of_records(spark.createDataFrame([], "conv_id bigint, record string")).count() == 0
+
+
 def test_layouts(spark):
     records = {
         '{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "system": "s", "extra": {"x": 1}}': ("messages", [("system", "s"), ("user", "q"), ("assistant", "a")]),
