@@ -3,6 +3,13 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``.  All but the last
 return the columns of documents.
+
+Defined results: documents with null, empty or very short texts go in the first
+stage, for want of words; rows without a doc_id pass the stages that decide by
+doc_id and keep their place; equal rows are near copies of each other, of which
+rows that share a doc_id stay or go together; ties go to the smaller doc_id; an
+empty table gives an empty result; columns beyond those of documents are kept
+as they are up to the last stage.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vellum.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
-from vellum.llm.shared import materialize, table
+from vellum.llm.shared import Scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +59,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; a stage's input is removed once its output is written, the last stage reads the only table that stays."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialize(docs, f"stage-{name.replace(' ', '-')}")
+            docs = scratch.table(docs, f"stage-{name.replace(' ', '-')}")
+            scratch.drop(keep=1)
     return docs
