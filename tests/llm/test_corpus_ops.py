@@ -583,3 +583,64 @@ def test_pipeline_stages(spark, copies, tmp_path):
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near dedup", "decontamination", "byte-level BPE"]
     ids = sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect() if r.doc_id is not None)
     assert ids == list(range(30))
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Each stage over what its predecessor kept of a whole table, against SQL, loops over all pairs, and tiktoken."""
+    import hashlib
+
+    import corpus_pipeline
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    stages = dict(corpus_pipeline.STAGES)
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    now = {r.doc_id: r for r in docs.collect()}
+
+    def staged(name):
+        nonlocal docs, now
+        docs = spark.createDataFrame(rows := stages[name](spark, docs, SF).collect(), docs.schema) if name != "byte-level BPE" else stages[name](spark, docs, SF)
+        return {r.doc_id: r for r in (rows if name != "byte-level BPE" else docs.collect())}
+
+    kept = {r[0] for r in c.execute(f"SELECT doc_id FROM ({queries.ORACLE_SQL['op9_quality_rules']}) WHERE kept").fetchall()}
+    now = staged("quality rules")
+    assert set(now) == kept
+
+    ids = sorted(now)
+    gone = {(ids[d], k) for d, k in brute_lines([now[i].text for i in ids])}
+    left = {i: "\n".join(x for k, x in enumerate(now[i].text.split("\n")) if (i, k) not in gone) for i in ids}
+    now = staged("line dedup")
+    assert {i: r.text for i, r in now.items()} == {i: t for i, t in left.items() if t.split()}
+
+    sets = {i: {tuple((w := r.text.split())[k : k + 5]) for k in range(max(1, len(r.text.split()) - 4))} for i, r in now.items()}
+    parent = {i: i for i in sets}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for a, b in itertools.combinations(sorted(sets), 2):
+        small, large = sorted((len(sets[a]), len(sets[b])))
+        if large <= 1.25 * small and len(sets[a] & sets[b]) >= 0.8 * small:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    best = {}
+    for i in sorted(sets):
+        if find(i) not in best or len(sets[i]) > len(sets[best[find(i)]]):
+            best[find(i)] = i
+    now = staged("near dedup")
+    assert set(now) == set(best.values())
+
+    items = [" ".join(r[0].lower().split()) for r in c.execute(f"SELECT text FROM '{SF}/benchmark.parquet'").fetchall()]
+    before = now
+    now = staged("decontamination")
+    clean = lambda t: [w.strip(".,;:!?\"'()") for w in t.lower().split()]
+    grams = {tuple(w[k : k + 13]) for t in items for w in [clean(t)] for k in range(len(w) - 12)}
+    holding = {i for i, r in before.items() if any(tuple((w := clean(r.text))[k : k + 13]) in grams for k in range(len(clean(r.text)) - 12))}
+    assert holding <= set(before) - set(now)
+    assert all(any(set(clean(before[i].text)) & set(clean(t)) for t in items) for i in set(before) - set(now))
+
+    texts = {i: r.text for i, r in now.items()}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    now = staged("byte-level BPE")
+    digest = lambda t: hashlib.sha256(np.array(enc.encode_ordinary(t), "<u4").tobytes()).hexdigest()
+    assert {i: r.ids_sha256 for i, r in now.items()} == {i: digest(t) for i, t in texts.items()}
