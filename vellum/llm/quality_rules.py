@@ -166,7 +166,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     fence = F.least(pick("fence", "lf", "wf"), CEILING * F.col("wf"))
     least = F.greatest(pick("least", "ll", "wl"), F.col("wl") / CEILING)
     of = lambda r, x: F.max(F.when(F.col("rule") == r, x))
-    return picked.groupBy(F.col("lang").alias("t_lang"), F.col("source").alias("t_source")).agg(*[of(r, fence).alias(f"max_{r}") for r in RULES], *[of(r, least).alias(f"min_{r}") for r, x in RULES.items() if x[3]])
+    # written, so that Spark knows its size before it plans the join, and moves no texts where it is small
+    return materialize(picked.groupBy(F.col("lang").alias("t_lang"), F.col("source").alias("t_source")).agg(*[of(r, fence).alias(f"max_{r}") for r in RULES], *[of(r, least).alias(f"min_{r}") for r, x in RULES.items() if x[3]]), "quality-fences")
 
 
 def verdict(joined: DataFrame) -> tuple[Column, Column]:
