@@ -126,6 +126,36 @@ def test_repeated_ids_put_their_texts_in_one_class(spark):
     assert rows == [(1, 1), (2, 1), (3, 3), (3, 3), (4, 4), (5, 1), (5, 1), (6, 6)]  # 4 is half of 3: no near copy of it
 
 
+@pytest.mark.parametrize("heavy", [256, 3])
+def test_contained_texts_equal_brute_force(spark, monkeypatch, heavy):
+    """Texts in much larger ones are links, whatever the sizes; a passage that many share neither hides nor makes any."""
+    monkeypatch.setattr(near_dedup, "HEAVY", heavy)
+    rnd = random.Random(23)
+    passage = prose(rnd, 40)
+    texts = [prose(rnd, rnd.randrange(60, 500)) for _ in range(40)]
+    for base in texts[:20]:
+        w = base.split()
+        for share in (0.05, 0.2, 0.5, 0.7):
+            n = max(3, int(share * len(w)))
+            at = rnd.randrange(len(w) - n + 1)
+            part = " ".join(w[at : at + n])
+            texts += [part, edited(rnd, part, 0.015), edited(rnd, part, 0.1)]
+    texts += [passage + " " + prose(rnd, rnd.randrange(5, 200)) for _ in range(30)] + [passage, " ".join(passage.split()[:20]), texts[40], texts[0]]
+    sets = [frozenset(tuple((w := t.split())[k : k + 5]) for k in range(max(1, len(t.split()) - 4))) for t in texts]
+    links = [(a, b) for a, s in enumerate(sets) for b, t in enumerate(sets) if len(t) > 1.25 * len(s) and len(s & t) >= 0.8 * len(s)]
+    rows = {r.doc_id: r for r in near_dedup.classes(documents(spark, texts)).collect() if r.doc_id is not None and r.doc_id < 900}
+    found = {k for k, r in rows.items() if r.contained}
+    assert len({a for a, _ in links}) > 100
+    assert found == {a for a, _ in links}
+    assert all(rows[a].family_id == rows[b].family_id for a, b in links)
+    parent = {}
+    find = lambda x: x if parent.setdefault(x, x) == x else find(parent[x])
+    for a, b in [*links, *((k, r.class_id) for k, r in rows.items())]:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    assert {k: r.family_id for k, r in rows.items()} == {k: find(k) for k in rows}
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]

@@ -21,6 +21,16 @@ similarity of 0.8 counts.
    that can hardly reach the threshold; the rest are verified exactly.
 5. For verification a set travels to the groups of the documents that it is
    held against, once each; large groups are salted.
+6. A set of which at least ``THRESHOLD`` lies in one that is more than
+   ``MAX_RATIO`` times as large is contained in it: no copy, but a link all the
+   same.  Each set posts its SAMPLE least hashes, and every set those of its
+   hashes that another one posts.  A bucket's sets first meet the smallest
+   and the largest of them; then sets not yet contained meet all larger
+   ones, and contained ones those of other families.  Verified exactly, too.
+   A set leaves out buckets of more than HEAVY sets while LIGHT of its own
+   are smaller: one that holds it lacks LIGHT of SAMPLE with a chance of 0.02.
+
+A class holds copies of like sizes; a family joins classes by all links.
 
 Defined results: a text without words (null or empty too) is in no group and
 its own class; a text of one to four words has one shingle of them all; rows
@@ -56,6 +66,11 @@ ROUNDS = 1
 #: Documents that one task's group holds against a document.
 GROUP = 256
 
+#: Least hashes that a set posts to find sets that hold it; buckets of more sets than HEAVY are left out while LIGHT others are left.
+SAMPLE, HEAVY, LIGHT = 12, 256, 6
+#: Hashes below it are looked up in the table of all that are posted, the others, which only small sets post, in one of their own too.
+COMMON = 1 << 61
+
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _B = _rng.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32)[:, None]
@@ -79,8 +94,13 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (vec.mix(out.astype(vec.U)) >> vec.U(48)).astype(np.uint16)
 
 
+def sampled(s: np.ndarray) -> np.ndarray:
+    """A set's hashes in an order that has nothing to do with that of the set."""
+    return np.sort(vec.mix(s, 9))
+
+
 def signed_docs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, s1, s2, sig)`` of every document that has words: set size, 128-bit set hash, MinHash."""
+    """``(doc_id, n, s1, s2, sig, low)`` of every document that has words: set size, 128-bit set hash, MinHash, least hashes."""
 
     def run(batches):
         for batch in vec.small(batches):
@@ -89,9 +109,10 @@ def signed_docs(docs: DataFrame) -> DataFrame:
             s1 = np.array([vec.mix(s, 1).sum() for *_, s in rows], vec.U)
             s2 = np.array([vec.mix(s, 2).sum() for *_, s in rows], vec.U)
             sig = pa.array([signature(s).tobytes() for *_, s in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([n for _, n, _ in rows], pa.int32()), vec.signed(s1), vec.signed(s2), sig], ["doc_id", "n", "s1", "s2", "sig"])
+            low = pa.array([sampled(s)[:SAMPLE].view(np.int64) for *_, s in rows], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([n for _, n, _ in rows], pa.int32()), vec.signed(s1), vec.signed(s2), sig, low], ["doc_id", "n", "s1", "s2", "sig", "low"])
 
-    return texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id bigint, n int, s1 bigint, s2 bigint, sig binary")
+    return texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id bigint, n int, s1 bigint, s2 bigint, sig binary, low array<bigint>")
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -202,17 +223,17 @@ def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def alike(s: np.ndarray, t: np.ndarray) -> bool:
-    """Near copies, by exact containment of sorted sets."""
+def alike(s: np.ndarray, t: np.ndarray, ratio: float = MAX_RATIO) -> bool:
+    """Near copies, by exact containment of sorted sets whose sizes differ by at most ``ratio``."""
     small, large = (s, t) if len(s) <= len(t) else (t, s)
-    if not len(small) or len(large) > MAX_RATIO * len(small):
+    if not len(small) or len(large) > ratio * len(small):
         return False
     at = np.minimum(np.searchsorted(large, small), len(large) - 1)
     return int((large[at] == small).sum()) >= THRESHOLD * len(small) - 1e-9
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Those of the distinct ``pairs(a, b)`` that are near copies by exact containment.
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, ratio: float = MAX_RATIO) -> DataFrame:
+    """Those of the distinct ``pairs(a, b)`` that are near copies, or links of sizes up to ``ratio``, by exact containment.
 
     Only texts that a candidate names are hashed again: a Bloom table of fixed
     size lets their ids through, the join to the pairs is exact.  Each b goes
@@ -237,7 +258,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
                 s = np.frombuffer(raw, vec.U)
                 if first:
                     heads.append(s)
-                elif any(alike(s, t) for t in heads):
+                elif any(alike(s, t, ratio) for t in heads):
                     out.append((a, b))
             x = np.array(out, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
@@ -276,23 +297,33 @@ def _agreeing(x: str, y: str) -> Column:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, class_id, n_shingles)`` of every row of ``docs(doc_id, text)``; class_id is the least doc_id of the class."""
+    """``(doc_id, class_id, n_shingles, family_id, contained)`` of every row of ``docs(doc_id, text)``.
+
+    class_id is the least doc_id of the near copies, family_id that of all that
+    links of any sizes join; contained tells whether a set of more than
+    MAX_RATIO times the size holds THRESHOLD of the text's.
+    """
     with Scratch(docs.sparkSession) as scratch:
         return materialize(_classes(docs, scratch), "classes")
 
 
 def _classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     signs = scratch.table(signed_docs(docs), "minhash")
-    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "minhash-sets")
+    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "minhash-sets")
     low = bounds(reps)
     if not low:
-        roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
+        roots = families = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
+        inner = docs.sparkSession.createDataFrame([], "inner bigint")
     else:
         roots = _roots(docs, reps, low, _repeated(signs, reps), scratch)
-    known = reps.select("id", "s1", "s2").join(roots, F.col("id") == F.col("node"), "left").select("s1", "s2", F.coalesce("root", "id").alias("root"))
+        families, inner = _families(docs, reps, roots, scratch)
+    root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
+    known = reps.select("id", "s1", "s2").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
+    known = known.select("s1", "s2", F.coalesce("class", "id").alias("root"), F.coalesce("family", "id").alias("family"), F.col("inner").isNotNull().alias("held"))
     # rows that repeat a doc_id have one class
-    of_doc = signs.select("doc_id", "s1", "s2", "n").join(known, ["s1", "s2"]).groupBy(F.col("doc_id").alias("known_id")).agg(F.min("root").alias("root"), F.max("n").alias("n"))
-    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id")).join(of_doc, F.col("doc_id") == F.col("known_id"), "left").select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n_shingles"))
+    of_doc = signs.select("doc_id", "s1", "s2", "n").join(known, ["s1", "s2"]).groupBy(F.col("doc_id").alias("known_id")).agg(F.min("root").alias("root"), F.max("n").alias("n"), F.min("family").alias("family"), F.min("held").alias("held"))
+    out = docs.select(docs["doc_id"].cast("bigint").alias("doc_id")).join(of_doc, F.col("doc_id") == F.col("known_id"), "left")
+    return out.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n_shingles"), F.coalesce("family", "doc_id").alias("family_id"), F.coalesce("held", F.lit(False)).alias("contained"))
 
 
 def _repeated(signs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -344,13 +375,140 @@ def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame
     return joined(pairs)
 
 
-def keep(docs: DataFrame) -> DataFrame:
+HITS = "key bigint, id bigint, n int, s1 bigint, own boolean"
+BUCKETS = "key bigint, id bigint, n int, size int, own boolean, up bigint, down bigint"
+
+
+def hits(docs: DataFrame, posted: vec.Bloom, high: vec.Bloom) -> DataFrame:
+    """Each set's hashes that may be posted; its ``own`` are its SAMPLE least ones."""
+
+    def run(batches):
+        for batch in vec.small(batches):
+            keys, size, s1 = [], [], []
+            for s in shingle_sets(batch.column(1)):
+                keys.append(sampled(s))
+                size.append(len(s))
+                s1.append(vec.mix(s, 1).sum() if len(s) else vec.U(0))
+            size = np.array(size)
+            m, row = np.concatenate([np.zeros(0, vec.U), *keys]), np.repeat(np.arange(len(size)), size)
+            own = np.arange(len(m)) - np.repeat(np.cumsum(size) - size, size) < SAMPLE
+            some = np.flatnonzero(posted.has(m))
+            rest = some[m[some] >= vec.U(COMMON)]
+            some = np.sort(np.concatenate([some[m[some] < vec.U(COMMON)], rest[high.has(m[rest])]]))
+            at = row[some]
+            yield pa.RecordBatch.from_arrays([vec.signed(m[some]), batch.column(0).take(pa.array(at)), pa.array(size[at].astype(np.int32)), vec.signed(np.array(s1, vec.U)[at]), pa.array(own[some])], ["key", "id", "n", "s1", "own"])
+
+    return texts(docs).where("doc_id is not null").mapInArrow(run, HITS)
+
+
+def _whole_keys(batches, step: int = 100_000):
+    """Lists of batches sorted by their first column, no key of which goes on in the next list."""
+    held, rows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        k = batch.column(0).to_numpy()
+        if rows < step or k[0] == k[-1]:
+            continue
+        cut = int(np.searchsorted(k, k[-1]))
+        held[-1] = batch.slice(0, cut)
+        yield held
+        held, rows = [batch.slice(cut)], batch.num_rows - cut
+    if held:
+        yield held
+
+
+def _column(batches: list[pa.RecordBatch], k: int) -> np.ndarray:
+    return pa.concat_arrays([b.column(k) for b in batches]).to_numpy(zero_copy_only=False)
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end of each row's run of equal keys."""
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    n = np.diff(np.append(head, len(key)))
+    return np.repeat(head, n), np.repeat(head + n, n)
+
+
+def buckets(found: DataFrame) -> DataFrame:
+    """Of each key that a set posted and a larger one holds, the distinct sets; ``up``, the largest, may hold the row's, ``down``, the smallest that posted, may lie in it."""
+
+    def run(batches):
+        for part in _whole_keys(batches):
+            key, ids, n, s1, own = (_column(part, k) for k in range(5))
+            order = np.lexsort((ids, s1, n, key))
+            k, m, s = key[order], n[order], s1[order]
+            one = np.concatenate(([True], (k[1:] != k[:-1]) | (m[1:] != m[:-1]) | (s[1:] != s[:-1])))
+            order = order[one]
+            key, ids, n, own = key[order], ids[order], n[order], own[order].astype(bool)
+            first, end = _groups(key)
+            posted = np.append(np.flatnonzero(own), len(key))
+            least = posted[np.searchsorted(posted, first)]  # of the bucket, if before its end
+            least = np.where(least < end, least, end - 1)
+            up, down = own & (n[end - 1] > MAX_RATIO * n), n > MAX_RATIO * n[least]
+            live = np.flatnonzero(up | down)
+            mate = lambda at, has: pa.array(ids[at[live]], mask=~has[live])  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(key[live]), pa.array(ids[live]), pa.array(n[live]), pa.array((end - first)[live].astype(np.int32)), pa.array(up[live]), mate(end - 1, up), mate(least, down)], ["key", "id", "n", "size", "own", "up", "down"])
+
+    return found.repartition("key").sortWithinPartitions("key").mapInArrow(run, BUCKETS)
+
+
+def _larger(rows: DataFrame) -> DataFrame:
+    """``(a, b)``: of each key, the rows b that still look for sets that hold them, with larger ones of other classes, or families if found already."""
+
+    def run(batches):
+        for part in _whole_keys(batches):
+            key, n, ids, looks, held, kind, family = (_column(part, k) for k in range(7))
+            first, end = _groups(key)
+            at = first.astype(np.float64) * (1 << 32)
+            start = np.searchsorted(at + n, at + MAX_RATIO * n, "right")
+            out = [np.zeros((0, 2), np.int64)]
+            for i in np.flatnonzero(looks.astype(bool) & (start < end)):
+                j = slice(start[i], end[i])
+                other = family[j] != family[i] if held[i] else kind[j] != kind[i]
+                out.append(np.stack([ids[j][other], np.full(other.sum(), ids[i])], axis=1))
+                if sum(map(len, out)) > 1 << 16 and len(out) > 64:
+                    x, out = np.unique(np.concatenate(out), axis=0), [np.zeros((0, 2), np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+            x = np.unique(np.concatenate(out), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "n").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``(node, root)`` by links of any sizes, and the ids ``inner`` of sets that lie in much larger ones."""
+    low = reps.select(F.explode("low").alias("key"))
+    high = low.where((F.col("key") < 0) | (F.col("key") >= COMMON))
+    rows = scratch.table(buckets(hits(docs, vec.bloom_of(low, "key", 26), vec.bloom_of(high, "key", 26))), "minhash-holders")
+    link = lambda x: x.select(F.col("a"), F.col("b")).where("a <> b").distinct()
+    tried = scratch.table(link(rows.where("up is not null").select(F.col("up").alias("a"), F.col("id").alias("b")).unionAll(rows.where("down is not null").select(F.col("id").alias("a"), F.col("down").alias("b")))), "minhash-ends")
+    links = scratch.table(verified(tried, docs, scratch, math.inf), "minhash-inner")
+    edges = lambda x, y: components(x.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(y), scratch)
+    families = edges(roots, links)
+    inner = links.select(F.col("b").alias("inner")).distinct()
+    root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
+    heavy = rows.where(F.col("own") & (F.col("size") > HEAVY)).groupBy(F.col("id").alias("h")).agg(F.count("*").alias("heavy"))
+    x = rows.join(heavy, F.col("id") == F.col("h"), "left").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
+    spared = (F.col("size") > HEAVY) & (F.least("n", F.lit(SAMPLE)) - F.col("heavy") >= LIGHT)
+    x = x.select("key", "n", "id", (F.col("own") & ~F.coalesce(spared, F.lit(False))).alias("looks"), F.col("inner").isNotNull().alias("held"), F.coalesce("class", "id").alias("kind"), F.coalesce("family", "id").alias("kin"))
+    more = scratch.table(_larger(x).join(tried, ["a", "b"], "left_anti"), "minhash-larger")
+    if more.isEmpty():
+        return families, inner
+    found = scratch.table(verified(more, docs, scratch, math.inf), "minhash-more-inner")
+    return edges(families, found), inner.unionAll(found.select("b")).distinct()
+
+
+def keep(docs: DataFrame, contained: bool = False) -> DataFrame:
     """``docs`` without near copies: of each class the document with most shingles stays, the least doc_id among equals.
 
+    With ``contained``, those that lie in much larger documents go, too.
     Rows that repeat a doc_id count as one document; rows without one stay.
     """
     found = classes(docs)
     best = found.where("doc_id is not null").groupBy(F.col("class_id").alias("c")).agg(F.max(F.struct("n_shingles", (-F.col("doc_id")).alias("minus"))).alias("best"))
-    gone = found.join(best, F.col("class_id") == F.col("c")).where(F.col("doc_id") != -F.col("best.minus")).select(F.col("doc_id").alias("gone_id")).distinct()
+    out = F.col("doc_id") != -F.col("best.minus")
+    gone = found.join(best, F.col("class_id") == F.col("c")).where(out | F.col("contained") if contained else out).select(F.col("doc_id").alias("gone_id")).distinct()
     kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
     return kept
