@@ -32,8 +32,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays."""
-    return near_dedup.keep(docs)
+    """One document of each class of near copies stays, unless it lies in a much larger document."""
+    return near_dedup.keep(docs, contained=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,6 +156,16 @@ def test_contained_texts_equal_brute_force(spark, monkeypatch, heavy):
     assert {k: r.family_id for k, r in rows.items()} == {k: find(k) for k in rows}
 
 
+def test_pipeline_drops_contained_documents(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(29)
+    long = prose(rnd, 400)
+    texts = [long, " ".join(long.split()[100:300]), prose(rnd, 200)]
+    kept = dict(corpus_pipeline.STAGES)["near dedup"](spark, documents(spark, texts), SF)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id < 900) == [0, 2]
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
