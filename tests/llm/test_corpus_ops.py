@@ -118,6 +118,17 @@ def test_recall_of_the_bands():
     assert np.mean([met(200, 220, 20) for _ in range(300)]) <= 0.05
 
 
+def test_signatures_are_held_to_the_sizes_of_the_pair():
+    """Pairs of equal sizes need more agreement than those at the largest ratio; pairs at the threshold have it."""
+    rnd = np.random.default_rng(11)
+    assert near_dedup.enough(0, 1.0) >= near_dedup.enough(0) + 5
+    for n, m in ((200, 200), (200, 250)):
+        for _ in range(300):
+            x = rnd.integers(0, 1 << 63, n + m, np.uint64)
+            a, b = near_dedup.signature(np.sort(x[:n])), near_dedup.signature(np.sort(np.concatenate([x[:160], x[n : n + m - 160]])))
+            assert (a == b).sum() >= near_dedup.enough(1 / (1 << 16), m / n)
+
+
 def test_repeated_ids_put_their_texts_in_one_class(spark):
     rnd = random.Random(17)
     a, b, c = (prose(rnd, 50) for _ in range(3))

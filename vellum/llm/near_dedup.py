@@ -29,6 +29,7 @@ similarity of 0.8 counts.
    ones, and contained ones those of other families.  Verified exactly, too.
    A set leaves out buckets of more than HEAVY sets while LIGHT of its own
    are smaller: one that holds it lacks LIGHT of SAMPLE with a chance of 0.02.
+   Pairs that share fewer than SHARED of SAMPLE are dropped before sets travel.
 
 A class holds copies of like sizes; a family joins classes by all links.
 
@@ -68,6 +69,8 @@ GROUP = 256
 
 #: Least hashes that a set posts to find sets that hold it; buckets of more sets than HEAVY are left out while LIGHT others are left.
 SAMPLE, HEAVY, LIGHT = 12, 256, 6
+#: Of SAMPLE hashes, those that a set's holder has at least; fewer with a chance of 0.0006.
+SHARED = 5
 #: Hashes below it are looked up in the table of all that are posted, the others, which only small sets post, in one of their own too.
 COMMON = 1 << 61
 
@@ -201,25 +204,24 @@ def near(a: Column, b: Column) -> Column:
     return F.greatest(a, b) <= F.least(a, b) * MAX_RATIO
 
 
-def enough(chance: float) -> int:
-    """How many hash functions agree at least for a pair at the threshold, any of them agreeing by chance so often."""
-    floor = THRESHOLD / (1 + MAX_RATIO - THRESHOLD)
+def enough(chance: float, ratio: float | np.ndarray = MAX_RATIO) -> np.ndarray:
+    """How many hash functions agree at least for a pair at the threshold whose sizes differ by ``ratio``, any of them agreeing by chance so often."""
+    floor = THRESHOLD / (1 + ratio - THRESHOLD)
     expected = floor + (1 - floor) * chance
-    return int(HASHES * expected - SIGMAS * math.sqrt(HASHES * expected * (1 - expected)))
+    return np.floor(HASHES * expected - SIGMAS * np.sqrt(HASHES * expected * (1 - expected)))
 
 
 def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sizes and signatures allow near copies."""
-    least = enough(1 / (1 << 16))
-
     def run(batches):
         for batch in batches:
-            some = (_signatures(batch.column(2)) == _signatures(batch.column(3))).sum(axis=1) >= least
+            na, nb = (batch.column(k).to_numpy() for k in (4, 5))
+            some = (_signatures(batch.column(2)) == _signatures(batch.column(3))).sum(axis=1) >= enough(1 / (1 << 16), np.maximum(na, nb) / np.minimum(na, nb))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(some)) for k in range(2)], ["a", "b"])
 
     x = reps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("ga"))
     y = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
-    both = pairs.join(x, "a").join(y, "b").where(near(F.col("na"), F.col("nb"))).select("a", "b", "ga", "gb")
+    both = pairs.join(x, "a").join(y, "b").where(near(F.col("na"), F.col("nb"))).select("a", "b", "ga", "gb", "na", "nb")
     return both.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -369,7 +371,7 @@ def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame
     bits = scratch.table(_nibbles(reps, held.select("id").distinct()), "minhash-nibbles")
     rest = held.join(bits, "id")
     x, y = rest.alias("x"), rest.alias("y")
-    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & near(F.col("x.n"), F.col("y.n")) & (_agreeing("x", "y") >= enough(1 / 16))
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & near(F.col("x.n"), F.col("y.n")) & (_agreeing("x", "y") >= int(enough(1 / 16)))
     pairs = x.join(y, met).select(*edge("x.id", "y.id")).distinct()
     pairs = scratch.table(likely(pairs.join(tried, ["a", "b"], "left_anti"), reps), "minhash-rest-pairs")
     return joined(pairs)
@@ -477,13 +479,22 @@ def _larger(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "n").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` of which a holds enough of what b posted; of sets of fewer than SAMPLE that is all of them."""
+    own = rows.where("own").select("key", F.col("id").alias("of"), "n")
+    held = rows.select(F.col("key").alias("held_key"), F.col("id").alias("by"))
+    both = pairs.join(own, F.col("b") == F.col("of")).join(held, (F.col("a") == F.col("by")) & (F.col("key") == F.col("held_key")))
+    least = F.when(F.col("n") < SAMPLE, F.ceil(F.col("n") * THRESHOLD - 1e-9)).otherwise(SHARED)
+    return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= least).select("a", "b")
+
+
 def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``(node, root)`` by links of any sizes, and the ids ``inner`` of sets that lie in much larger ones."""
     low = reps.select(F.explode("low").alias("key"))
     high = low.where((F.col("key") < 0) | (F.col("key") >= COMMON))
     rows = scratch.table(buckets(hits(docs, vec.bloom_of(low, "key", 26), vec.bloom_of(high, "key", 26))), "minhash-holders")
     link = lambda x: x.select(F.col("a"), F.col("b")).where("a <> b").distinct()
-    tried = scratch.table(link(rows.where("up is not null").select(F.col("up").alias("a"), F.col("id").alias("b")).unionAll(rows.where("down is not null").select(F.col("id").alias("a"), F.col("down").alias("b")))), "minhash-ends")
+    tried = scratch.table(_sharing(link(rows.where("up is not null").select(F.col("up").alias("a"), F.col("id").alias("b")).unionAll(rows.where("down is not null").select(F.col("id").alias("a"), F.col("down").alias("b")))), rows), "minhash-ends")
     links = scratch.table(verified(tried, docs, scratch, math.inf), "minhash-inner")
     edges = lambda x, y: components(x.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(y), scratch)
     families = edges(roots, links)
@@ -493,7 +504,7 @@ def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scrat
     x = rows.join(heavy, F.col("id") == F.col("h"), "left").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
     spared = (F.col("size") > HEAVY) & (F.least("n", F.lit(SAMPLE)) - F.col("heavy") >= LIGHT)
     x = x.select("key", "n", "id", (F.col("own") & ~F.coalesce(spared, F.lit(False))).alias("looks"), F.col("inner").isNotNull().alias("held"), F.coalesce("class", "id").alias("kind"), F.coalesce("family", "id").alias("kin"))
-    more = scratch.table(_larger(x).join(tried, ["a", "b"], "left_anti"), "minhash-larger")
+    more = scratch.table(_sharing(_larger(x), rows).join(tried, ["a", "b"], "left_anti"), "minhash-larger")
     if more.isEmpty():
         return families, inner
     found = scratch.table(verified(more, docs, scratch, math.inf), "minhash-more-inner")
