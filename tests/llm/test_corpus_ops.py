@@ -225,6 +225,29 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.report(documents(spark, []).limit(0)).count() == 0
 
 
+def test_lines_post_packed_and_copies_once(spark):
+    """Of equal lines in any number of tasks the earliest posts alone; postings take fewer bytes than in rows and come out as they went in."""
+    rnd = random.Random(31)
+    lines = [prose(rnd, 30) for _ in range(300)]
+    docs = documents(spark, ["\n".join(lines[k % 300] for k in range(d, d + 20)) for d in range(0, 1200, 10)]).repartition(4, "doc_id")
+    with line_dedup.Scratch(spark) as scratch:
+        scan = line_dedup.scanned(docs, scratch)
+        counts, words = line_dedup.word_counts(scan)
+        equal, copies = line_dedup.equals(scan, scratch)
+        assert equal.where("first").count() == 300
+        rows = line_dedup.postings(docs, counts, 4, copies).collect()
+    assert words == 120 * 20 * 30
+    assert sum(r.rows for r in rows) == sum(len(set(x.split())) - math.ceil(0.8 * len(set(x.split()))) + 1 for x in lines)
+    found = [(r.part, line_dedup.unpacked(r.rows, r.size, bytes(r.packed))) for r in rows]
+    assert all((x["t"] >> 36 == part).all() and (np.diff(x["t"]) >= 0).all() for part, x in found)
+    assert {(int(d), int(k)) for _, x in found for d, k in zip(x["doc_id"], x["line"], strict=True)} == {(d, k) for d in range(30) for k in range(20) if d == 0 or k >= 10 and d < 29}
+    x = {k: rnd_.astype(kind) for (k, kind), rnd_ in zip(line_dedup.FIELDS.items(), np.random.default_rng(2).integers(0, 1 << 12, (8, 5000)), strict=True)}
+    x["t"] = np.sort(x["t"])
+    size, raw = line_dedup.packed(x)
+    assert all((v == x[k]).all() for k, v in line_dedup.unpacked(5000, size, raw).items())
+    assert len(raw) < 20 * 5000
+
+
 def test_lines_open_after_the_first_pass(spark, monkeypatch):
     """A line whose first partners fail, though there are more, is joined again with all of them."""
     first = line_dedup.verified

@@ -9,10 +9,10 @@ then smaller line number) has a Jaccard similarity of at least ``THRESHOLD``.
 2. Each line posts its prefix: two lines at the threshold share a word there.
    Where all words that two lines share there are ``HOT`` ones, they share two
    of them in prefixes that are one word longer; so hot words are posted in
-   pairs, and the group of a single word never has more than HOT lines.  Equal
-   sets are collapsed per batch and again per word; sets of up to three words
-   only equal sets can match, and these are found without postings.
-3. Postings are dealt out by word and sorted by set size.  A pair survives if
+   pairs, and the group of a single word never has more than HOT lines.  Of
+   equal sets, found by their hashes without postings, the earliest line
+   posts; sets of up to three words only equal sets can match.
+3. Postings are packed by ranges of words, dealt out and sorted by set size.  A pair survives if
    its sizes (length filter), its places in the orders (positional filter) and
    a parity of 64 or 128 bits of its words (no two sets differ in more bits than
    words) allow the threshold; it is a strong one if the parity leaves much
@@ -54,10 +54,14 @@ LONG = 64
 #: Survivors of a line and word that go on at once: strong ones, which by their parities differ in no more than half of the words that they may, or others.
 STRONG, MOST = 2, 64
 
-#: k: 40 bits of the word's hash, 12 of the set's size, 12 of the word's place in the line; both stop at TOP.
-#: sl: 32 bits of the set's hash, and the line's number.
-POSTS = "k bigint, sl bigint, doc_id bigint, b0 bigint, b1 bigint"
+#: Set sizes and places of words in lines stop here.
 TOP = (1 << 12) - 1
+#: A posting: 40 bits of the word's hash, the set's size, the word's place in the line, 32 bits of the set's hash, the line's place and parity.
+FIELDS = {"t": np.int64, "n": np.uint16, "pos": np.uint16, "s": np.uint32, "line": np.uint32, "doc_id": np.int64, "b0": np.uint64, "b1": np.uint64}
+#: Postings travel packed, those of a task and a range of words in one row.
+POSTS = "part int, rows int, size int, packed binary"
+#: Ranges of words: at least 2 ** 10, and more of them for tables of more than 2 ** 31 words.
+PART_BITS = 10
 PAIRS = "doc_id bigint, line int, e_doc bigint, e_line int, more boolean"
 
 
@@ -95,8 +99,8 @@ def scanned(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(texts(docs).mapInArrow(run, SCAN), "line-scan")
 
 
-def word_counts(scan: DataFrame) -> np.ndarray:
-    """Counts of all words by the top bits of their hashes.
+def word_counts(scan: DataFrame) -> tuple[np.ndarray, int]:
+    """Counts of all words by the top bits of their hashes, cut at 2 ** 20, and the number of words.
 
     The tasks' chunks are added where they are dealt to, as a stream.  The
     driver gets the sums, 8 MB for any input.
@@ -114,7 +118,25 @@ def word_counts(scan: DataFrame) -> np.ndarray:
     table = np.zeros((CHUNKS, (1 << TABLE_BITS) // CHUNKS), np.int64)
     for k, part in scan.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary").toLocalIterator():
         table[k] = np.frombuffer(zlib.decompress(part), np.int64)
-    return np.minimum(table.ravel(), (1 << 20) - 1).astype(np.int32)
+    return np.minimum(table.ravel(), (1 << 20) - 1).astype(np.int32), int(table.sum())
+
+
+def equals(scan: DataFrame, scratch: Scratch) -> tuple[DataFrame, tuple[vec.Bloom, vec.Bloom]]:
+    """``(doc_id, line, first)`` of lines whose sets several have, ``first`` being that of the earliest, and some other lines as first
+    ones; Bloom tables of these sets and of the first ones' places."""
+    every = scan.where("line is not null").select("doc_id", "line", "s1", "s2")
+    several = every.groupBy(F.col("s1").alias("e1"), F.col("s2").alias("e2")).agg(F.min(F.struct("doc_id", "line")).alias("least"), F.count("*").alias("n")).where("n > 1")
+    several = scratch.table(several.select("e1", "e2", "least"), "line-copies")
+    bloom = vec.bloom_of(several, "e1", 26)
+
+    def likely(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.has(batch.column(2).to_numpy().view(vec.U))))
+
+    rows = every.mapInArrow(likely, every.schema).join(several, (F.col("s1") == F.col("e1")) & (F.col("s2") == F.col("e2")), "left")
+    first = F.col("least").isNull() | ((F.col("doc_id") == F.col("least.doc_id")) & (F.col("line") == F.col("least.line")))
+    equal = scratch.table(rows.select("doc_id", "line", first.alias("first")), "line-equals")
+    return equal, (bloom, bloom_of_places(equal.where("first")))
 
 
 def rarest_first(h: np.ndarray, line: np.ndarray, n: int, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -133,14 +155,19 @@ def rarest_first(h: np.ndarray, line: np.ndarray, n: int, counts: np.ndarray | N
 
 
 class Lines:
-    """Lines of a slice that have words: each one's distinct word hashes, rarest first if counts are given."""
+    """Lines of a slice that have words, of which ``wanted(text, number)`` may tell those that count: each one's distinct word hashes, rarest first if counts are given."""
 
-    def __init__(self, w: vec.Words, counts: np.ndarray | None = None):
+    def __init__(self, w: vec.Words, counts: np.ndarray | None = None, wanted=None):
         text, number = w.text, w.line()
         fresh = np.ones(len(text), bool)
         fresh[1:] = (text[1:] != text[:-1]) | (number[1:] != number[:-1])
         head = np.flatnonzero(fresh)
-        self.h, line = rarest_first(w.hash, np.cumsum(fresh) - 1, len(head), counts)
+        line, h = np.cumsum(fresh) - 1, w.hash
+        if wanted is not None:
+            live = wanted(text[head], number[head])
+            some = live[line]
+            head, h, line = head[live], h[some], (np.cumsum(live) - 1)[line[some]]
+        self.h, line = rarest_first(h, line, len(head), counts)
         self.n = np.bincount(line, minlength=len(head))
         self.text, self.number = text[head], number[head]
         self.off = np.concatenate(([0], np.cumsum(self.n)))
@@ -200,12 +227,51 @@ def posted(h: np.ndarray, off: np.ndarray, mine: np.ndarray, counts: np.ndarray)
     return t & vec.U((1 << 40) - 1), line, word - off[line]
 
 
-def postings(docs: DataFrame, counts: np.ndarray, words: vec.Bloom | None = None) -> DataFrame:
-    """A row per posted word or pair: the key (a collision of hashes only adds candidates), the line's place, and its set's
-    hash and parity, which together tell sets apart; only those of ``words`` where given."""
+def packed(x: dict[str, np.ndarray]) -> tuple[int, bytes]:
+    """Postings sorted by ``t`` as compressed bytes, and their size before: words as differences, bytes of equal weight together."""
+    planes = []
+    for k, kind in FIELDS.items():
+        v = np.diff(x[k], prepend=0) if k == "t" else x[k]
+        planes.append(np.ascontiguousarray(v.astype(kind).view(np.uint8).reshape(len(v), -1).T))
+    raw = b"".join(p.tobytes() for p in planes)
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(rows: int, size: int, raw: bytes) -> dict[str, np.ndarray]:
+    data, at, out = np.frombuffer(pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True), np.uint8), 0, {}
+    for k, kind in FIELDS.items():
+        wide = np.dtype(kind).itemsize * rows
+        v = np.ascontiguousarray(data[at : at + wide].reshape(-1, rows).T).view(kind).ravel()
+        out[k] = np.cumsum(v) if k == "t" else v
+        at += wide
+    return out
+
+
+def part_bits(words: int) -> int:
+    """Bits of the number of ranges: one of some hundred thousand postings at most."""
+    return min(20, max(PART_BITS, int(words).bit_length() - 21))
+
+
+def postings(docs: DataFrame, counts: np.ndarray, bits: int, copies: tuple[vec.Bloom, vec.Bloom], words: vec.Bloom | None = None) -> DataFrame:
+    """A posting per posted word or pair: the key (a collision of hashes only adds candidates), the line's place, and its set's
+    hash and parity, which together tell sets apart; only those of ``words`` where given.  They are packed by 2 ** ``bits`` ranges of keys.
+    Lines whose sets are in the first of ``copies`` post only if their places are in the second."""
+    equal, first_ones = copies
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
+    def sent(held: list[dict[str, np.ndarray]]):
+        x = {k: np.concatenate([h[k] for h in held]) for k in FIELDS}
+        order = np.argsort(x["t"], kind="stable")
+        x = {k: v[order] for k, v in x.items()}
+        part = (x["t"] >> (40 - bits)).astype(np.int32)
+        head = np.flatnonzero(np.concatenate((np.ones(min(1, len(part)), bool), part[1:] != part[:-1])))
+        end = np.append(head[1:], len(part))
+        for lo in range(0, len(head), 1024):
+            some = [packed({k: v[i:j] for k, v in x.items()}) for i, j in zip(head[lo : lo + 1024], end[lo : lo + 1024], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[head[lo : lo + 1024]]), pa.array((end - head)[lo : lo + 1024].astype(np.int32)), pa.array([n for n, _ in some], pa.int32()), pa.array([raw for _, raw in some], pa.binary())], ["part", "rows", "size", "packed"])
+
     def run(batches):
+        held, rows = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, buf, at in vec.slices(batch.column(1)):
@@ -213,18 +279,29 @@ def postings(docs: DataFrame, counts: np.ndarray, words: vec.Bloom | None = None
                 # of equal sets within the slice, the earliest line posts
                 order = np.lexsort((x.number, ids[lo + x.text]))
                 _, first = np.unique(x.s1[order], return_index=True)
-                t, line, pos = posted(x.h, x.off, np.sort(order[first]), shared.value)
+                mine = np.sort(order[first])
+                mine = mine[~equal.has(x.s1[mine]) | first_ones.has(place(ids[lo + x.text[mine]], x.number[mine]))]
+                t, line, pos = posted(x.h, x.off, mine, shared.value)
                 if words is not None:
                     some = words.has(t)
                     t, line, pos = t[some], line[some], pos[some]
                 b0, b1 = x.parity()
-                key = (t << vec.U(24)) | (np.minimum(x.n[line], TOP).astype(vec.U) << vec.U(12)) | np.minimum(pos, TOP).astype(vec.U)
-                own = (x.s1[line] >> vec.U(32) << vec.U(32)) | x.number[line].astype(vec.U)
-                yield pa.RecordBatch.from_arrays([vec.signed(key), vec.signed(own), pa.array(ids[lo + x.text[line]]), vec.signed(b0[line]), vec.signed(b1[line])], ["k", "sl", "doc_id", "b0", "b1"])
+                wide = {"t": t, "n": np.minimum(x.n, TOP)[line], "pos": np.minimum(pos, TOP), "s": (x.s1 >> vec.U(32))[line], "line": x.number[line], "doc_id": ids[lo + x.text[line]], "b0": b0[line], "b1": b1[line]}
+                held.append({k: wide[k].astype(kind) for k, kind in FIELDS.items()})
+                rows += len(t)
+                if rows >= FLUSH:
+                    yield from sent(held)
+                    held, rows = [], 0
+        if rows:
+            yield from sent(held)
 
     return texts(docs).mapInArrow(run, POSTS)
 
 
+#: Postings that a task holds before it sends them (40 MB).
+FLUSH = 1 << 20
+
+
 #: Pairs that are looked at at once.
 BLOCK = 1 << 19
 
@@ -316,36 +393,29 @@ def collapsed(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def candidates(posts: DataFrame, among: vec.Bloom | None = None) -> DataFrame:
     """Surviving pairs per word: some partners of each line and whether there may be more; or all partners of lines in ``among``."""
-    names = ["k", "sl", "doc_id", "b0", "b1"]
 
-    def pairs(batches):
-        x = {k: pa.concat_arrays([b.column(c) for b in batches]).to_numpy() for c, k in enumerate(names)}
-        x["t"], x["n"], x["pos"], x["line"] = x["k"] >> 24, x["k"] >> 12 & TOP, x["k"] & TOP, x["sl"] & 0xFFFFFFFF
-        x["b0"], x["b1"] = x["b0"].view(vec.U), x["b1"].view(vec.U)
-        x["s1"] = vec.mix(x["sl"].view(vec.U) >> vec.U(32), 4) + vec.mix(x["b0"], 5) + vec.mix(x["b1"], 6)
+    def pairs(held):
+        x = {k: np.concatenate([h[k] for h in held]) for k in FIELDS}
+        x = {k: v if k in ("b0", "b1") else v.astype(np.int64) for k, v in x.items()}
+        x["s1"] = vec.mix(x.pop("s").view(vec.U), 4) + vec.mix(x["b0"], 5) + vec.mix(x["b1"], 6)
         x = collapsed(x)
         wanted = None if among is None else among.has(place(x["doc_id"], x["line"]))
         later, earlier, more = survivors(x, wanted)
         return pa.RecordBatch.from_arrays([pa.array(v) for v in (x["doc_id"][later], x["line"][later].astype(np.int32), x["doc_id"][earlier], x["line"][earlier].astype(np.int32), more)], ["doc_id", "line", "e_doc", "e_line", "more"])
 
     def run(batches):
-        held, rows = [], 0
+        held, rows, last = [], 0, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            rows += batch.num_rows
-            t = batch.column(0).to_numpy() >> 24
-            if rows < 100_000 or t[0] == t[-1]:
-                continue
-            cut = int(np.searchsorted(t, t[-1]))  # the last word may go on
-            held[-1] = batch.slice(0, cut)
-            yield pairs(held)
-            held, rows = [batch.slice(cut)], batch.num_rows - cut
+            for part, n, size, raw in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if part != last and rows >= 100_000:  # a word lies in one range
+                    yield pairs(held)
+                    held, rows = [], 0
+                held.append(unpacked(n, size, raw))
+                rows, last = rows + n, part
         if held:
             yield pairs(held)
 
-    return posts.repartition(F.shiftright("k", 24)).sortWithinPartitions("k").mapInArrow(run, PAIRS)
+    return posts.repartition("part").sortWithinPartitions("part").mapInArrow(run, PAIRS)
 
 
 def place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -353,27 +423,32 @@ def place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
     return vec.mix(vec.mix(doc_id.astype(np.int64).view(vec.U), 7) + line.astype(np.int64).view(vec.U), 8)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, line)`` of lines with a partner in ``pairs`` at the threshold, and the sets ``(doc_id, line, s)`` of all lines in pairs."""
-    pairs = scratch.table(pairs.select("doc_id", "line", "e_doc", "e_line").distinct(), "line-pairs")
-    places = scratch.table(pairs.select(F.explode(F.array(F.struct("doc_id", "line"), F.struct(F.col("e_doc").alias("doc_id"), F.col("e_line").alias("line")))).alias("x")).select("x.doc_id", "x.line").distinct(), "line-places")
-
+def bloom_of_places(places: DataFrame) -> vec.Bloom:
     def hashed(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([vec.signed(place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["h"])
 
-    bloom = vec.bloom_of(places.mapInArrow(hashed, "h bigint"), "h", 26)
+    return vec.bloom_of(places.select("doc_id", "line").mapInArrow(hashed, "h bigint"), "h", 26)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, line)`` of lines with a partner in ``pairs`` at the threshold, and the sets ``(doc_id, line, s)`` of all lines in pairs, among a few others."""
+    pairs = scratch.table(pairs.select("doc_id", "line", "e_doc", "e_line").distinct(), "line-pairs")
+    places = scratch.table(pairs.select(F.explode(F.array(F.struct("doc_id", "line"), F.struct(F.col("e_doc").alias("doc_id"), F.col("e_line").alias("line")))).alias("x")).select("x.doc_id", "x.line").distinct(), "line-places")
+
+    bloom, named = bloom_of_places(places), vec.bloom_of(places, "doc_id", 26)
 
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(named.has(batch.column(0).to_numpy().view(vec.U))))
             ids = batch.column(0).to_numpy()
             for lo, _, buf, at in vec.slices(batch.column(1)):
-                x = Lines(vec.words(buf, at))
-                some = np.flatnonzero(bloom.has(place(ids[lo + x.text], x.number)))
-                sets = [x.h[x.off[k] : x.off[k + 1]].view(np.int64) for k in some]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo + x.text[some]]), pa.array(x.number[some].astype(np.int32)), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "line", "s"])
+                x = Lines(vec.words(buf, at), wanted=lambda text, number: bloom.has(place(ids[lo + text], number)))  # noqa: B023
+                sets = pa.ListArray.from_arrays(pa.array(x.off.astype(np.int32)), vec.signed(x.h))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo + x.text]), pa.array(x.number.astype(np.int32)), sets], ["doc_id", "line", "s"])
 
-    sets = scratch.table(texts(docs).mapInArrow(run, "doc_id bigint, line int, s array<bigint>").join(places, ["doc_id", "line"], "left_semi"), "line-sets")
+    # some sets that no pair names may be among them; the joins leave these out
+    sets = scratch.table(texts(docs).mapInArrow(run, "doc_id bigint, line int, s array<bigint>"), "line-sets")
     x = pairs.join(sets, ["doc_id", "line"]).join(sets.select(F.col("doc_id").alias("e_doc"), F.col("line").alias("e_line"), F.col("s").alias("es")), ["e_doc", "e_line"])
     both = F.size(F.array_intersect("s", "es"))
     return x.where(5 * both >= 4 * (F.size("s") + F.size("es") - both)).select("doc_id", "line").distinct(), sets
@@ -387,18 +462,16 @@ def removed(docs: DataFrame) -> DataFrame:
 
 def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scan = scanned(docs, scratch)
-    counts = word_counts(scan)
-    found = scratch.table(candidates(postings(docs, counts)), "line-candidates")
+    counts, words = word_counts(scan)
+    bits = part_bits(words)
+    equal, copies = equals(scan, scratch)
+    found = scratch.table(candidates(postings(docs, counts, bits, copies)), "line-candidates")
     near, sets = verified(found, docs, scratch)
     near = scratch.table(near, "line-matches")
     open_ = scratch.table(found.where("more").select("doc_id", "line").distinct().join(near, ["doc_id", "line"], "left_anti"), "line-open")
     if not open_.isEmpty():
         shared = docs.sparkSession.sparkContext.broadcast(counts)
 
-        def hashed(batches):
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([vec.signed(place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["h"])
-
         def keys(batches):
             for batch in batches:
                 lists = batch.column(0)
@@ -407,16 +480,12 @@ def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 t, _, _ = posted(h, np.concatenate(([0], np.cumsum(n))), np.arange(len(n)), shared.value)
                 yield pa.RecordBatch.from_arrays([vec.signed(np.unique(t))], ["t"])
 
-        of = vec.bloom_of(open_.mapInArrow(hashed, "h bigint"), "h", 26)
-        words = scratch.table(sets.join(open_, ["doc_id", "line"], "left_semi").select("s").mapInArrow(keys, "t bigint").distinct(), "line-words")
-        rest = candidates(postings(docs, counts, words=vec.bloom_of(words, "t", 26)), of).join(open_, ["doc_id", "line"], "left_semi")
+        of = bloom_of_places(open_)
+        keyed = scratch.table(sets.join(open_, ["doc_id", "line"], "left_semi").select("s").mapInArrow(keys, "t bigint").distinct(), "line-words")
+        rest = candidates(postings(docs, counts, bits, copies, vec.bloom_of(keyed, "t", 26)), of).join(open_, ["doc_id", "line"], "left_semi")
         near = near.unionAll(verified(scratch.table(rest, "line-rest"), docs, scratch)[0]).distinct()
     # of equal sets all but the first go; sets whose first line has an earlier match are among the matches
-    every = scan.where("line is not null").select("doc_id", "line", "s1", "s2")
-    firsts = every.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    which = F.col("s1").bitwiseAND(0x7FFFFFFF).cast("int").alias("s")  # tells the sets of rows that repeat a doc_id apart
-    firsts = firsts.select("first.doc_id", "first.line", which)
-    gone = near.unionAll(every.select("doc_id", "line", which).join(firsts, ["doc_id", "line", "s"], "left_anti").select("doc_id", "line"))
+    gone = near.unionAll(equal.where(~F.col("first")).select("doc_id", "line"))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
 
 
@@ -424,7 +493,7 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: its number of lines and the numbers of those removed."""
     gone = removed(docs).withColumnRenamed("doc_id", "gone_id")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    n = F.when(docs["text"].isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    n = F.when(docs["text"].isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     own = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), n.cast("bigint").alias("n_lines"))
     lost = F.coalesce("removed_lines", F.array().cast("array<int>"))
     return own.join(gone, F.col("doc_id") == F.col("gone_id"), "left").select("doc_id", "n_lines", F.size(lost).cast("bigint").alias("n_removed"), lost.alias("removed_lines"))
