@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
 from vellum.llm import components, decontaminate, license_scan, line_dedup, near_dedup, quality_bayes, quality_rules, queries, toxicity
 
 from ..conftest import SF
@@ -177,6 +178,35 @@ def test_pipeline_drops_contained_documents(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id < 900) == [0, 2]
 
 
+@pytest.mark.parametrize("bits", [16, 12, 6])
+def test_cascades_tell_members_exactly(spark, bits):
+    """Small tables let many keys through, each of which a further table sets right; full ones give no answer."""
+    from vellum.llm import membership, shared
+
+    every = spark.range(0, 6000).select(F.col("id").alias("x"))
+    with shared.Scratch(spark) as scratch:
+        found = membership.cascade(every.where("x % 7 = 3"), every, near_dedup._id_hash, scratch, bits)
+    assert (found is None) == (bits == 6)
+    if found is not None:
+        assert bits != 12 or len(found.levels) > 2
+        x = np.arange(6000)
+        assert (found.has(near_dedup._id_hash(x)) == (x % 7 == 3)).all()
+
+
+def test_kept_texts_are_not_moved(spark, copies, monkeypatch):
+    """Both stages leave texts in their partitions, and give what a join of documents gives."""
+    docs = documents(spark, copies)
+    for module in (line_dedup, near_dedup):
+        kept = module.keep(docs)
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(module, "cascade", lambda *_: None)
+        joined = module.keep(docs)
+        assert "Exchange" in joined._jdf.queryExecution().executedPlan().toString()
+        assert kept.columns == joined.columns
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, joined.collect()), key=str)
+        assert kept.count() < docs.count()
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]

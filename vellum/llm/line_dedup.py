@@ -36,10 +36,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
+from .membership import Cascade, cascade
 from .shared import Scratch, materialize
 
 THRESHOLD = 0.8
@@ -298,8 +300,8 @@ def postings(docs: DataFrame, counts: np.ndarray, bits: int, copies: tuple[vec.B
     return texts(docs).mapInArrow(run, POSTS)
 
 
-#: Postings that a task holds before it sends them (40 MB).
-FLUSH = 1 << 20
+#: Postings that a task holds before it sends them (5 MB, some copies of which are made).
+FLUSH = 1 << 17
 
 
 #: Pairs that are looked at at once.
@@ -424,11 +426,7 @@ def place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def bloom_of_places(places: DataFrame) -> vec.Bloom:
-    def hashed(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([vec.signed(place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["h"])
-
-    return vec.bloom_of(places.select("doc_id", "line").mapInArrow(hashed, "h bigint"), "h", 26)
+    return vec.bloom_of(places, ["doc_id", "line"], 26, place)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -457,11 +455,15 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> tuple[DataF
 def removed(docs: DataFrame) -> DataFrame:
     """``(doc_id, removed_lines)`` of documents that lose lines, numbered from 0."""
     with Scratch(docs.sparkSession) as scratch:
-        return materialize(_removed(docs, scratch), "removed-lines")
+        return materialize(_listed(_gone(docs, scanned(docs, scratch), scratch)), "removed-lines")
+
+
+def _listed(gone: DataFrame) -> DataFrame:
+    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
 
 
-def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    scan = scanned(docs, scratch)
+def _gone(docs: DataFrame, scan: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(doc_id, line)`` of the lines that go, some of them repeatedly."""
     counts, words = word_counts(scan)
     bits = part_bits(words)
     equal, copies = equals(scan, scratch)
@@ -485,8 +487,7 @@ def _removed(docs: DataFrame, scratch: Scratch) -> DataFrame:
         rest = candidates(postings(docs, counts, bits, copies, vec.bloom_of(keyed, "t", 26)), of).join(open_, ["doc_id", "line"], "left_semi")
         near = near.unionAll(verified(scratch.table(rest, "line-rest"), docs, scratch)[0]).distinct()
     # of equal sets all but the first go; sets whose first line has an earlier match are among the matches
-    gone = near.unionAll(equal.where(~F.col("first")).select("doc_id", "line"))
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
+    return near.unionAll(equal.where(~F.col("first")).select("doc_id", "line"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -499,15 +500,59 @@ def report(docs: DataFrame) -> DataFrame:
     return own.join(gone, F.col("doc_id") == F.col("gone_id"), "left").select("doc_id", "n_lines", F.size(lost).cast("bigint").alias("n_removed"), lost.alias("removed_lines"))
 
 
+#: What separates words.
+_BLANK = bytes([32, *range(9, 14)])
+
+
+def cut(ids: pa.Array, column: pa.Array, of: Cascade) -> pa.Array:
+    """Texts without the lines whose places ``of`` has; null for those that lose none."""
+    known = pc.and_(ids.is_valid(), column.is_valid())
+    n = pc.fill_null(pc.if_else(known, pc.add(pc.count_substring(column, "\n"), 1), 0), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row, line = np.repeat(np.arange(len(n)), n), _stretches(np.zeros(len(n), np.int64), n)
+    some = np.flatnonzero(of.has(place(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)[row], line)))
+    raw, out, lost = column.cast(pa.binary()), [None] * len(n), {}
+    for d, k in zip(row[some].tolist(), line[some].tolist(), strict=True):
+        lost.setdefault(d, set()).add(k)
+    for d, numbers in lost.items():
+        lines = raw[d].as_py().split(b"\n")
+        left = [x for k, x in enumerate(lines) if k not in numbers or not x.strip(_BLANK)]  # the cascade knows lines with words only
+        if len(left) < len(lines):
+            out[d] = b"\n".join(left)
+    return pa.array(out, pa.binary()).view(pa.string())
+
+
 def keep(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed lines cut out of ``text``; a document that loses all its words so goes.
 
-    ``n_chars``, where there is one, follows the text.
+    ``n_chars``, where there is one, follows the text.  Texts stay where they
+    are: tables that tell which lines go travel to them; only if there are too
+    many for these are lists of lines joined to documents.
     """
-    gone = removed(docs).select(F.col("doc_id").alias("gone_id"), F.col("removed_lines").alias("gone_lines"))
+    with Scratch(docs.sparkSession) as scratch:
+        scan = scanned(docs, scratch)
+        gone = scratch.table(_gone(docs, scan, scratch), "line-gone")
+        of = cascade(gone, scan.where("line is not null").select("doc_id", "line"), place, scratch)
+        lists = materialize(_listed(gone), "removed-lines") if of is None else None
+    if of is None:
+        return _joined(docs, lists)
+
+    @F.arrow_udf("string")
+    def less(ids: pa.Array, column: pa.Array) -> pa.Array:
+        return cut(ids, column, of)
+
+    found = docs.withColumn("_left", less(docs["doc_id"].cast("bigint"), docs["text"].cast("string")))
+    return _kept(docs.columns, found, F.col("_left").isNull(), F.col("_left"))
+
+
+def _joined(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    gone = lists.select(F.col("doc_id").alias("gone_id"), F.col("removed_lines").alias("gone_lines"))
     left = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda _, k: ~F.array_contains(gone["gone_lines"], k)), "\n")
-    text = F.when(gone["gone_lines"].isNull(), docs["text"]).otherwise(left)
-    cut = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left")
-    cut = cut.where(gone["gone_lines"].isNull() | text.rlike(r"[^\x20\x09-\x0D]"))
-    columns = {"text": text, "n_chars": F.when(gone["gone_lines"].isNull(), docs["n_chars"]).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return cut.select(*[columns[c].alias(c) if columns.get(c) is not None else docs[c] for c in docs.columns])
+    return _kept(docs.columns, docs.join(gone, docs["doc_id"] == gone["gone_id"], "left"), gone["gone_lines"].isNull(), left)
+
+
+def _kept(columns: list[str], found: DataFrame, whole: Column, left: Column) -> DataFrame:
+    text = F.when(whole, F.col("text")).otherwise(left)
+    values = {"text": text}
+    if "n_chars" in columns:
+        values["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(F.length(text)).cast(found.schema["n_chars"].dataType)
+    return found.where(whole | text.rlike(r"[^\x20\x09-\x0D]")).select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in columns])

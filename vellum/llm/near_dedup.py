@@ -46,11 +46,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
 from .components import components
+from .membership import cascade
 from .shared import Scratch, materialize
 
 WIDTH, THRESHOLD, MAX_RATIO = 5, 0.8, 1.25
@@ -173,8 +175,8 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES).astype(vec.U)
 
 
-def postings(reps: DataFrame, low: list[int]) -> DataFrame:
-    """``(key, id, n)``: a row per band.
+def postings(reps: DataFrame, low: list[int], live: vec.Bloom | None = None) -> DataFrame:
+    """``(key, id, n)``: a row per band, of those with keys in ``live`` only where given.
 
     Two partitions that can meet share the rows per band tuned for them and,
     of these, at least the tuned number of bands.
@@ -194,7 +196,11 @@ def postings(reps: DataFrame, low: list[int]) -> DataFrame:
                     for r in range(rows):
                         keys = vec.mix(keys ^ block[:, :, r], r + 1)
                     keys = vec.mix(keys + np.arange(bands, dtype=vec.U), 1000 + rows).ravel()
-                    yield pa.RecordBatch.from_arrays([vec.signed(keys), ids.take(pa.array(np.repeat(some, bands))), pa.array(np.repeat(n[some], bands))], ["key", "id", "n"])
+                    of = np.repeat(some, bands)
+                    if live is not None:
+                        mine = live.has(keys)
+                        keys, of = keys[mine], of[mine]
+                    yield pa.RecordBatch.from_arrays([vec.signed(keys), ids.take(pa.array(of)), pa.array(n[of])], ["key", "id", "n"])
 
     return reps.select("id", "n", "sig").mapInArrow(run, "key bigint, id bigint, n int")
 
@@ -211,8 +217,17 @@ def enough(chance: float, ratio: float | np.ndarray = MAX_RATIO) -> np.ndarray:
     return np.floor(HASHES * expected - SIGMAS * np.sqrt(HASHES * expected * (1 - expected)))
 
 
-def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def likely(pairs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sizes and signatures allow near copies."""
+    pairs = scratch.table(pairs, "minhash-met")
+    named = vec.bloom_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", 26)
+
+    def those(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(named.has(batch.column(0).to_numpy().view(vec.U))))
+
+    reps = reps.select("id", "n", "sig").mapInArrow(those, "id bigint, n int, sig binary")
+
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(k).to_numpy() for k in (4, 5))
@@ -347,10 +362,12 @@ def _held(posts: DataFrame, roots: DataFrame) -> DataFrame:
 def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame, scratch: Scratch) -> DataFrame:
     posts = postings(reps, low)
     shared = posts.groupBy(F.col("key").alias("k")).agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").select("k", "hub")
+    shared = scratch.table(shared, "minhash-shared")
+    posts = postings(reps, low, vec.bloom_of(shared, "k", 26))
     posts = scratch.table(posts.join(shared, F.col("key") == F.col("k")).select("key", "id", "n", "hub"), "minhash-buckets")
     edge = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     # each set with the smallest hub of its buckets
-    tried = scratch.table(likely(posts.where("id <> hub").groupBy("id").agg(F.min("hub").alias("a")).select("a", F.col("id").alias("b")), reps), "minhash-stars")
+    tried = scratch.table(likely(posts.where("id <> hub").groupBy("id").agg(F.min("hub").alias("a")).select("a", F.col("id").alias("b")), reps, scratch), "minhash-stars")
     roots = components(repeated.unionAll(verified(tried, docs, scratch)), scratch)
     joined = lambda more: components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(verified(more, docs, scratch)), scratch)
     for k in range(ROUNDS + 1):
@@ -364,7 +381,7 @@ def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame
         stands = held.groupBy("key", "class").agg(F.min(F.struct(draw("id").alias("d"), "id"))["id"].alias("id"))
         hub = stands.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(draw("class").alias("d"), "class", "id")).alias("h"))
         met = stands.join(hub, F.col("key") == F.col("k")).where(F.col("class") != F.col("h.class")).select(*edge("id", "h.id")).distinct()
-        more = scratch.table(likely(met.join(tried, ["a", "b"], "left_anti"), reps), "minhash-more-stars")
+        more = scratch.table(likely(met.join(tried, ["a", "b"], "left_anti"), reps, scratch), "minhash-more-stars")
         tried = tried.unionAll(more)
         roots = joined(more)
 
@@ -373,7 +390,7 @@ def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame
     x, y = rest.alias("x"), rest.alias("y")
     met = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & near(F.col("x.n"), F.col("y.n")) & (_agreeing("x", "y") >= int(enough(1 / 16)))
     pairs = x.join(y, met).select(*edge("x.id", "y.id")).distinct()
-    pairs = scratch.table(likely(pairs.join(tried, ["a", "b"], "left_anti"), reps), "minhash-rest-pairs")
+    pairs = scratch.table(likely(pairs.join(tried, ["a", "b"], "left_anti"), reps, scratch), "minhash-rest-pairs")
     return joined(pairs)
 
 
@@ -516,10 +533,25 @@ def keep(docs: DataFrame, contained: bool = False) -> DataFrame:
 
     With ``contained``, those that lie in much larger documents go, too.
     Rows that repeat a doc_id count as one document; rows without one stay.
+    Texts stay where they are, as in :func:`line_dedup.keep`.
     """
     found = classes(docs)
     best = found.where("doc_id is not null").groupBy(F.col("class_id").alias("c")).agg(F.max(F.struct("n_shingles", (-F.col("doc_id")).alias("minus"))).alias("best"))
     out = F.col("doc_id") != -F.col("best.minus")
     gone = found.join(best, F.col("class_id") == F.col("c")).where(out | F.col("contained") if contained else out).select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    return kept
+    with Scratch(docs.sparkSession) as scratch:
+        gone = materialize(gone, "near-copies")
+        ids = docs.select(docs["doc_id"].cast("bigint").alias("gone_id")).where("gone_id is not null")
+        of = cascade(gone, ids, _id_hash, scratch)
+    if of is None:
+        return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+    @F.arrow_udf("boolean")
+    def goes(column: pa.Array) -> pa.Array:
+        return pa.array(of.has(pc.fill_null(column, 0).to_numpy(zero_copy_only=False).view(vec.U)))
+
+    return docs.where(docs["doc_id"].isNull() | ~goes(docs["doc_id"].cast("bigint")))
+
+
+def _id_hash(ids: np.ndarray) -> np.ndarray:
+    return ids.view(vec.U)

@@ -211,14 +211,16 @@ class Bloom:
         return out
 
 
-def bloom_of(df, column: str, bits: int = 24) -> Bloom:
-    """A Bloom table of a bigint column: made by at most 64 tasks, one table each, and merged one by one."""
+def bloom_of(df, column: str | list[str], bits: int = 24, hashed=None) -> Bloom:
+    """A Bloom table of a bigint column, or of what ``hashed`` makes of some columns without nulls: made by at most 64 tasks, one table each, and merged one by one."""
 
     def run(batches):
         b = Bloom(bits)
         for batch in batches:
-            h = batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(U)
-            b.add(h)
+            if hashed is None:
+                b.add(batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(U))
+            else:
+                b.add(hashed(*(c.to_numpy(zero_copy_only=False) for c in batch.columns)))
         if b.table.any():
             import zlib
 
