@@ -168,6 +168,38 @@ def test_contained_texts_equal_brute_force(spark, monkeypatch, heavy):
     assert {k: r.family_id for k, r in rows.items()} == {k: find(k) for k in rows}
 
 
+def test_a_passage_that_many_share_makes_no_pairs_of_its_texts(spark, monkeypatch):
+    """Texts that share a quarter to half of their shingles aren't held against each other, while those in larger ones are found."""
+    rnd = random.Random(31)
+    passage = prose(rnd, 60)
+    texts = [passage + " " + prose(rnd, rnd.randrange(60, 200)) for _ in range(80)]
+    texts += [t + " " + prose(rnd, 100) for t in texts[:5]]
+    seen, verified = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *x: seen.append(pairs.count() if len(x) > 2 else 0) or verified(pairs, *x))
+    rows = near_dedup.classes(documents(spark, texts)).where("contained").collect()
+    assert {r.doc_id for r in rows} >= set(range(5))
+    assert sum(seen) < 400
+
+
+def test_sets_look_where_a_holder_must_be(spark):
+    """Of 7 posted hashes that larger sets hold, a holder has 5, so one is among any 3; of 4 hashes it can't have 5."""
+    own = [(k, i, 100, larger, True, 9, None) for i, some in ((1, [70, 10, 60, 20, 50, 30, 40]), (2, [1, 1, 1, 1]), (3, [5] * 12)) for k, larger in enumerate(some)]
+    rows = spark.createDataFrame([*own, (50, 4, 100, 3, False, 9, 1), (51, 5, 3, 1, True, 9, None), (52, 5, 3, 2, True, 9, None), (53, 5, 3, 3, True, 9, None)], near_dedup.BUCKETS)
+    found = sorted((r.id, r.key) for r in near_dedup._looks(rows).collect())
+    assert found == [(1, 1), (1, 3), (1, 5), *((3, k) for k in range(8)), (5, 51)]
+
+
+def test_bitmaps_never_lack_more_than_sets():
+    rng = np.random.default_rng(37)
+    for n in (3, 40, 300, 5000):
+        x = rng.integers(0, 1 << 63, 2 * n, np.uint64)
+        s, t = np.unique(x[:n]), np.unique(x[n // 5 :])
+        a, b = (np.frombuffer(near_dedup.bitmap(v), np.uint64) for v in (s, t))
+        assert np.bitwise_count(a & ~b).sum() <= n // 5
+        if n == 300:
+            assert np.bitwise_count(a & ~np.frombuffer(near_dedup.bitmap(np.unique(x[n:])), np.uint64)).sum() > n // 5
+
+
 def test_pipeline_drops_contained_documents(spark):
     import corpus_pipeline
 

@@ -27,9 +27,10 @@ similarity of 0.8 counts.
    hashes that another one posts.  A bucket's sets first meet the smallest
    and the largest of them; then sets not yet contained meet all larger
    ones, and contained ones those of other families.  Verified exactly, too.
-   A set leaves out buckets of more than HEAVY sets while LIGHT of its own
-   are smaller: one that holds it lacks LIGHT of SAMPLE with a chance of 0.02.
-   Pairs that share fewer than SHARED of SAMPLE are dropped before sets travel.
+   A holder has SHARED of a set's SAMPLE at least, so a set of fewer hashes
+   that any larger one holds looks nowhere, and another one leaves out the
+   SHARED - 1 buckets with most larger sets.  Within a bucket, bitmaps of the
+   sets' shingles drop pairs that surely lack too many, before pairs are made.
 
 A class holds copies of like sizes; a family joins classes by all links.
 
@@ -69,12 +70,14 @@ ROUNDS = 1
 #: Documents that one task's group holds against a document.
 GROUP = 256
 
-#: Least hashes that a set posts to find sets that hold it; buckets of more sets than HEAVY are left out while LIGHT others are left.
-SAMPLE, HEAVY, LIGHT = 12, 256, 6
+#: Least hashes that a set posts to find sets that hold it; larger sets of a bucket that one is held against at once.
+SAMPLE, HEAVY = 12, 256
 #: Of SAMPLE hashes, those that a set's holder has at least; fewer with a chance of 0.0006.
 SHARED = 5
 #: Hashes below it are looked up in the table of all that are posted, the others, which only small sets post, in one of their own too.
 COMMON = 1 << 61
+#: Bits of a set's bitmap; those of sets of many more shingles are full and drop nothing.
+BITMAP = 1024
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
@@ -104,8 +107,15 @@ def sampled(s: np.ndarray) -> np.ndarray:
     return np.sort(vec.mix(s, 9))
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit for each shingle: of two sets' bitmaps, the bits that one lacks are no more than its missing shingles."""
+    bits = np.zeros(BITMAP, bool)
+    bits[(s & vec.U(BITMAP - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
 def signed_docs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, s1, s2, sig, low)`` of every document that has words: set size, 128-bit set hash, MinHash, least hashes."""
+    """``(doc_id, n, s1, s2, sig, low, bits)`` of every document that has words: set size, 128-bit set hash, MinHash, least hashes, bitmap."""
 
     def run(batches):
         for batch in vec.small(batches):
@@ -115,9 +125,10 @@ def signed_docs(docs: DataFrame) -> DataFrame:
             s2 = np.array([vec.mix(s, 2).sum() for *_, s in rows], vec.U)
             sig = pa.array([signature(s).tobytes() for *_, s in rows], pa.binary())
             low = pa.array([sampled(s)[:SAMPLE].view(np.int64) for *_, s in rows], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([n for _, n, _ in rows], pa.int32()), vec.signed(s1), vec.signed(s2), sig, low], ["doc_id", "n", "s1", "s2", "sig", "low"])
+            bits = pa.array([bitmap(s) for *_, s in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([n for _, n, _ in rows], pa.int32()), vec.signed(s1), vec.signed(s2), sig, low, bits], ["doc_id", "n", "s1", "s2", "sig", "low", "bits"])
 
-    return texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id bigint, n int, s1 bigint, s2 bigint, sig binary, low array<bigint>")
+    return texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id bigint, n int, s1 bigint, s2 bigint, sig binary, low array<bigint>, bits binary")
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -326,7 +337,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def _classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     signs = scratch.table(signed_docs(docs), "minhash")
-    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "minhash-sets")
+    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low"), F.first("bits").alias("bits")), "minhash-sets")
     low = bounds(reps)
     if not low:
         roots = families = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
@@ -395,7 +406,7 @@ def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame
 
 
 HITS = "key bigint, id bigint, n int, s1 bigint, own boolean"
-BUCKETS = "key bigint, id bigint, n int, size int, own boolean, up bigint, down bigint"
+BUCKETS = "key bigint, id bigint, n int, larger int, own boolean, up bigint, down bigint"
 
 
 def hits(docs: DataFrame, posted: vec.Bloom, high: vec.Bloom) -> DataFrame:
@@ -443,6 +454,13 @@ def _column(batches: list[pa.RecordBatch], k: int) -> np.ndarray:
     return pa.concat_arrays([b.column(k) for b in batches]).to_numpy(zero_copy_only=False)
 
 
+def _bitmaps(batches: list[pa.RecordBatch], k: int) -> np.ndarray:
+    """A column of bitmaps as rows of 64-bit words."""
+    column = pa.concat_arrays([b.column(k) for b in batches])
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at : at + len(column) * BITMAP // 8].view(vec.U).reshape(-1, BITMAP // 64)
+
+
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and end of each row's run of equal keys."""
     head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -450,8 +468,14 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(head, n), np.repeat(head + n, n)
 
 
+def _larger_from(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Where, in each row's group that begins at ``first``, the sets begin that are more than MAX_RATIO times as large; groups are sorted by ``n``."""
+    at = first.astype(np.float64) * (1 << 32)
+    return np.searchsorted(at + n, at + MAX_RATIO * n, "right")
+
+
 def buckets(found: DataFrame) -> DataFrame:
-    """Of each key that a set posted and a larger one holds, the distinct sets; ``up``, the largest, may hold the row's, ``down``, the smallest that posted, may lie in it."""
+    """Of each key that a set posted and a larger one holds, the distinct sets; ``larger`` is how many may hold the row's, ``up``, the largest, may hold the row's, ``down``, the smallest that posted, may lie in it."""
 
     def run(batches):
         for part in _whole_keys(batches):
@@ -465,30 +489,37 @@ def buckets(found: DataFrame) -> DataFrame:
             posted = np.append(np.flatnonzero(own), len(key))
             least = posted[np.searchsorted(posted, first)]  # of the bucket, if before its end
             least = np.where(least < end, least, end - 1)
-            up, down = own & (n[end - 1] > MAX_RATIO * n), n > MAX_RATIO * n[least]
+            larger = end - _larger_from(first, n)
+            up, down = own & (larger > 0), n > MAX_RATIO * n[least]
             live = np.flatnonzero(up | down)
             mate = lambda at, has: pa.array(ids[at[live]], mask=~has[live])  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([pa.array(key[live]), pa.array(ids[live]), pa.array(n[live]), pa.array((end - first)[live].astype(np.int32)), pa.array(up[live]), mate(end - 1, up), mate(least, down)], ["key", "id", "n", "size", "own", "up", "down"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[live]), pa.array(ids[live]), pa.array(n[live]), pa.array(larger[live].astype(np.int32)), pa.array(up[live]), mate(end - 1, up), mate(least, down)], ["key", "id", "n", "larger", "own", "up", "down"])
 
     return found.repartition("key").sortWithinPartitions("key").mapInArrow(run, BUCKETS)
 
 
 def _larger(rows: DataFrame) -> DataFrame:
-    """``(a, b)``: of each key, the rows b that still look for sets that hold them, with larger ones of other classes, or families if found already."""
+    """``(a, b)``: of each key, the rows b that still look for sets that hold them, with larger ones of other classes, or families if found already, whose bitmaps lack no more than they may."""
 
     def run(batches):
         for part in _whole_keys(batches):
             key, n, ids, looks, held, kind, family = (_column(part, k) for k in range(7))
+            bits = _bitmaps(part, 7)
+            lacking = ~bits
+            most = n - np.ceil(THRESHOLD * n - 1e-9).astype(np.int64)
             first, end = _groups(key)
-            at = first.astype(np.float64) * (1 << 32)
-            start = np.searchsorted(at + n, at + MAX_RATIO * n, "right")
-            out = [np.zeros((0, 2), np.int64)]
+            start = _larger_from(first, n)
+            out, made = [np.zeros((0, 2), np.int64)], 0
             for i in np.flatnonzero(looks.astype(bool) & (start < end)):
-                j = slice(start[i], end[i])
-                other = family[j] != family[i] if held[i] else kind[j] != kind[i]
-                out.append(np.stack([ids[j][other], np.full(other.sum(), ids[i])], axis=1))
-                if sum(map(len, out)) > 1 << 16 and len(out) > 64:
-                    x, out = np.unique(np.concatenate(out), axis=0), [np.zeros((0, 2), np.int64)]
+                for lo in range(start[i], end[i], HEAVY):
+                    j = slice(lo, min(lo + HEAVY, end[i]))
+                    other = family[j] != family[i] if held[i] else kind[j] != kind[i]
+                    some = ids[j][other & (np.bitwise_count(bits[i] & lacking[j]).sum(axis=1, dtype=np.int64) <= most[i])]
+                    if len(some):
+                        out.append(np.stack([some, np.full(len(some), ids[i])], axis=1))
+                        made += len(some)
+                if made > 1 << 16:
+                    x, out, made = np.unique(np.concatenate(out), axis=0), [np.zeros((0, 2), np.int64)], 0
                     yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
             x = np.unique(np.concatenate(out), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
@@ -496,13 +527,24 @@ def _larger(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "n").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _least(n: Column) -> Column:
+    """How many of the hashes that a set of ``n`` posted its holder has at least; of sets of fewer than SAMPLE these are all of them."""
+    return F.when(n < SAMPLE, F.ceil(n * THRESHOLD - 1e-9)).otherwise(SHARED).cast("int")
+
+
+def _looks(rows: DataFrame) -> DataFrame:
+    """``(id, key)``: where sets look for their holders, which have at least so many of a set's keys that one of these buckets is among them."""
+    own = rows.where(F.col("own") & F.col("up").isNotNull()).groupBy("id").agg(F.min("n").alias("n"), F.sort_array(F.collect_list(F.struct("larger", "key"))).alias("keys"))
+    several = F.size("keys") - _least(F.col("n")) + 1
+    return own.where(several > 0).select("id", F.explode(F.slice("keys", F.lit(1), several)).alias("x")).select("id", "x.key")
+
+
 def _sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` of which a holds enough of what b posted; of sets of fewer than SAMPLE that is all of them."""
+    """Those of ``pairs(a, b)`` of which a holds enough of what b posted."""
     own = rows.where("own").select("key", F.col("id").alias("of"), "n")
     held = rows.select(F.col("key").alias("held_key"), F.col("id").alias("by"))
     both = pairs.join(own, F.col("b") == F.col("of")).join(held, (F.col("a") == F.col("by")) & (F.col("key") == F.col("held_key")))
-    least = F.when(F.col("n") < SAMPLE, F.ceil(F.col("n") * THRESHOLD - 1e-9)).otherwise(SHARED)
-    return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= least).select("a", "b")
+    return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= _least(F.col("n"))).select("a", "b")
 
 
 def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -517,10 +559,12 @@ def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scrat
     families = edges(roots, links)
     inner = links.select(F.col("b").alias("inner")).distinct()
     root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
-    heavy = rows.where(F.col("own") & (F.col("size") > HEAVY)).groupBy(F.col("id").alias("h")).agg(F.count("*").alias("heavy"))
-    x = rows.join(heavy, F.col("id") == F.col("h"), "left").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
-    spared = (F.col("size") > HEAVY) & (F.least("n", F.lit(SAMPLE)) - F.col("heavy") >= LIGHT)
-    x = x.select("key", "n", "id", (F.col("own") & ~F.coalesce(spared, F.lit(False))).alias("looks"), F.col("inner").isNotNull().alias("held"), F.coalesce("class", "id").alias("kind"), F.coalesce("family", "id").alias("kin"))
+    look = scratch.table(_looks(rows), "minhash-looks")
+    # only the buckets in which a set looks
+    x = rows.join(look.select("key").distinct(), "key", "left_semi").select("key", "n", "id")
+    x = x.join(look.select("key", "id", F.lit(True).alias("looks")), ["key", "id"], "left").join(reps.select("id", "n", "bits"), ["id", "n"])
+    x = x.join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
+    x = x.select("key", "n", "id", F.coalesce("looks", F.lit(False)).alias("looks"), F.col("inner").isNotNull().alias("held"), F.coalesce("class", "id").alias("kind"), F.coalesce("family", "id").alias("kin"), "bits")
     more = scratch.table(_sharing(_larger(x), rows).join(tried, ["a", "b"], "left_anti"), "minhash-larger")
     if more.isEmpty():
         return families, inner
