@@ -21,28 +21,45 @@ from vellum.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
 from vellum.llm.shared import Scratch, table
 
 
+#: Bytes of an Arrow batch, after the row that goes beyond; by default Spark packs 10,000 whole texts.
+BATCH = 4 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session hold about BATCH bytes, unless it has a bound of its own: they are held once
+    by the executor and some times by each Python worker.  No result depends on how texts are batched."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the adaptive quality rules reject go."""
+    bounded(spark)
     return quality_rules.keep(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that nearly repeat an earlier one go, and documents of nothing else."""
+    bounded(spark)
     return line_dedup.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays, unless it lies in a much larger document."""
+    bounded(spark)
     return near_dedup.keep(docs, contained=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark questions, re-parameterised ones included, go."""
+    bounded(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text encoded; digests of its ids and of what they decode to."""
+    bounded(spark)
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

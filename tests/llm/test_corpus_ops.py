@@ -210,6 +210,28 @@ def test_pipeline_drops_contained_documents(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id < 900) == [0, 2]
 
 
+def test_pipeline_bounds_what_workers_get_at_once(spark):
+    """12 MB of texts in one partition reach Python in parts, not as one batch of all rows."""
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a" * 4000), F.col("id").cast("string")).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    try:
+        dict(corpus_pipeline.STAGES)["byte-level BPE"](spark, docs, SF)
+        assert max(r.size for r in docs.mapInArrow(sizes, "size bigint").collect()) < 5 << 20
+        spark.conf.set(key, "1m")
+        dict(corpus_pipeline.STAGES)["byte-level BPE"](spark, docs, SF)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("bits", [16, 12, 6])
 def test_cascades_tell_members_exactly(spark, bits):
     """Small tables let many keys through, each of which a further table sets right; full ones give no answer."""
