@@ -77,7 +77,7 @@ SHARED = 5
 #: Hashes below it are looked up in the table of all that are posted, the others, which only small sets post, in one of their own too.
 COMMON = 1 << 61
 #: Bits of a set's bitmap; those of sets of many more shingles are full and drop nothing.
-BITMAP = 1024
+BITMAP = 4096
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
@@ -337,14 +337,14 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def _classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     signs = scratch.table(signed_docs(docs), "minhash")
-    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low"), F.first("bits").alias("bits")), "minhash-sets")
+    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "minhash-sets")
     low = bounds(reps)
     if not low:
         roots = families = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
         inner = docs.sparkSession.createDataFrame([], "inner bigint")
     else:
         roots = _roots(docs, reps, low, _repeated(signs, reps), scratch)
-        families, inner = _families(docs, reps, roots, scratch)
+        families, inner = _families(docs, signs, reps, roots, scratch)
     root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
     known = reps.select("id", "s1", "s2").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
     known = known.select("s1", "s2", F.coalesce("class", "id").alias("root"), F.coalesce("family", "id").alias("family"), F.col("inner").isNotNull().alias("held"))
@@ -502,7 +502,7 @@ def _larger(rows: DataFrame) -> DataFrame:
     """``(a, b)``: of each key, the rows b that still look for sets that hold them, with larger ones of other classes, or families if found already, whose bitmaps lack no more than they may."""
 
     def run(batches):
-        for part in _whole_keys(batches):
+        for part in _whole_keys(batches, 20_000):
             key, n, ids, looks, held, kind, family = (_column(part, k) for k in range(7))
             bits = _bitmaps(part, 7)
             lacking = ~bits
@@ -547,7 +547,7 @@ def _sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= _least(F.col("n"))).select("a", "b")
 
 
-def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _families(docs: DataFrame, signs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``(node, root)`` by links of any sizes, and the ids ``inner`` of sets that lie in much larger ones."""
     low = reps.select(F.explode("low").alias("key"))
     high = low.where((F.col("key") < 0) | (F.col("key") >= COMMON))
@@ -562,8 +562,11 @@ def _families(docs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scrat
     look = scratch.table(_looks(rows), "minhash-looks")
     # only the buckets in which a set looks
     x = rows.join(look.select("key").distinct(), "key", "left_semi").select("key", "n", "id")
-    x = x.join(look.select("key", "id", F.lit(True).alias("looks")), ["key", "id"], "left").join(reps.select("id", "n", "bits"), ["id", "n"])
-    x = x.join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
+    x = x.join(look.select("key", "id", F.lit(True).alias("looks")), ["key", "id"], "left")
+    x = scratch.table(x.join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left"), "minhash-looking")
+    # rows that repeat a doc_id may have several sets of a size, each with its bitmap
+    bits = signs.select(F.col("doc_id").alias("id"), "n", "s1", "s2", "bits").join(x.select("id").distinct(), "id", "left_semi").groupBy("id", "n", "s1", "s2").agg(F.first("bits").alias("bits"))
+    x = x.join(bits.select("id", "n", "bits"), ["id", "n"])
     x = x.select("key", "n", "id", F.coalesce("looks", F.lit(False)).alias("looks"), F.col("inner").isNotNull().alias("held"), F.coalesce("class", "id").alias("kind"), F.coalesce("family", "id").alias("kin"), "bits")
     more = scratch.table(_sharing(_larger(x), rows).join(tried, ["a", "b"], "left_anti"), "minhash-larger")
     if more.isEmpty():
