@@ -200,6 +200,43 @@ def test_bitmaps_never_lack_more_than_sets():
             assert np.bitwise_count(a & ~np.frombuffer(near_dedup.bitmap(np.unique(x[n:])), np.uint64)).sum() > n // 5
 
 
+def test_packed_sets_never_lack_more_than_sets():
+    rng = np.random.default_rng(41)
+    for n in (1, 2, 40, 300, 5000, 40000):
+        x = rng.integers(0, 1 << 63, 2 * n, np.uint64)
+        s, t = np.unique(x[:n]), np.unique(x[n // 5 :])
+        size, a = near_dedup.unpacked(near_dedup.packed(s))
+        assert size == n and (a == np.unique(s & np.uint64(near_dedup.PACKED - 1))).all()
+        assert len(np.setdiff1d(a, near_dedup.unpacked(near_dedup.packed(t))[1])) <= n // 5
+        assert len(near_dedup.packed(s)) < 1.5 * n or n < 200
+
+
+def test_only_pairs_that_packed_sets_allow_are_verified(spark, monkeypatch):
+    """Texts that share two thirds of their shingles are candidates, but their whole sets do not travel; near copies are found."""
+    rnd = random.Random(43)
+    base = prose(rnd, 100)
+    texts = [base + " " + prose(rnd, 50) for _ in range(40)]
+    texts += [t + " " + prose(rnd, 4) for t in texts[:5]]
+    seen, verified = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *x: seen.append(pairs.count()) or verified(pairs, *x))
+    rows = {r.doc_id: r.class_id for r in near_dedup.classes(documents(spark, texts)).collect() if r.doc_id is not None}
+    assert all(rows[40 + k] == k for k in range(5)) and len({rows[k] for k in range(40)}) == 40
+    assert 5 <= sum(seen) <= 20
+
+
+def test_sets_of_hashes_that_no_larger_set_holds_look_nowhere(spark, monkeypatch):
+    """Short texts of a line that many hold and words of their own are not held against its holders; those in a holder are."""
+    rnd = random.Random(47)
+    line = prose(rnd, 20)
+    texts = [line + " " + prose(rnd, rnd.randrange(60, 90)) for _ in range(60)]
+    texts += [line + " " + prose(rnd, 9) for _ in range(20)] + [" ".join(t.split()[:29]) for t in texts[20:24]]
+    looking, larger = [], near_dedup._larger
+    monkeypatch.setattr(near_dedup, "_larger", lambda rows: looking.append({r.id for r in rows.where("looks").select("id").collect()}) or larger(rows))
+    rows = near_dedup.classes(documents(spark, texts)).where("contained and doc_id < 900").collect()
+    assert {r.doc_id for r in rows} == {80, 81, 82, 83}
+    assert len(looking) == 1 and not looking[0] & set(range(60, 80))
+
+
 def test_pipeline_drops_contained_documents(spark):
     import corpus_pipeline
 

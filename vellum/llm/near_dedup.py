@@ -20,7 +20,8 @@ similarity of 0.8 counts.
    copies never emits its pairs.  MinHash nibbles within the join drop pairs
    that can hardly reach the threshold; the rest are verified exactly.
 5. For verification a set travels to the groups of the documents that it is
-   held against, once each; large groups are salted.
+   held against, once each; large groups are salted.  Packed sets, of about a
+   byte a shingle, go first and drop only pairs that surely lack too many.
 6. A set of which at least ``THRESHOLD`` lies in one that is more than
    ``MAX_RATIO`` times as large is contained in it: no copy, but a link all the
    same.  Each set posts its SAMPLE least hashes, and every set those of its
@@ -29,7 +30,8 @@ similarity of 0.8 counts.
    ones, and contained ones those of other families.  Verified exactly, too.
    A holder has SHARED of a set's SAMPLE at least, so a set of fewer hashes
    that any larger one holds looks nowhere, and another one leaves out the
-   SHARED - 1 buckets with most larger sets.  Within a bucket, bitmaps of the
+   SHARED - 1 buckets with most larger sets.  One whose WIDE least hashes are
+   not held by larger sets often enough looks nowhere, too.  Within a bucket, bitmaps of the
    sets' shingles drop pairs that surely lack too many, before pairs are made.
 
 A class holds copies of like sizes; a family joins classes by all links.
@@ -74,10 +76,15 @@ GROUP = 256
 SAMPLE, HEAVY = 12, 256
 #: Of SAMPLE hashes, those that a set's holder has at least; fewer with a chance of 0.0006.
 SHARED = 5
+#: Least hashes of a set that looks for a holder of which it is asked whether any larger set holds them, and how many that must be:
+#: a set's holder has fewer of WIDE ones with a chance of less than 0.0001, of sets of up to WIDE hashes all are asked.
+WIDE, WIDE_SHARED = 64, 38
 #: Hashes below it are looked up in the table of all that are posted, the others, which only small sets post, in one of their own too.
 COMMON = 1 << 61
 #: Bits of a set's bitmap; those of sets of many more shingles are full and drop nothing.
 BITMAP = 4096
+#: Values that shingle hashes have in packed sets; those of many more shingles drop little.
+PACKED = 1 << 14
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
@@ -114,8 +121,24 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def packed(s: np.ndarray) -> bytes:
+    """A set's size and its hashes cut to PACKED values, as gaps of a byte each; 255 goes on in the next byte."""
+    v = np.unique((s & vec.U(PACKED - 1)).astype(np.int32))
+    gap = np.diff(v, prepend=np.int32(-1)) - 1
+    out = np.full(len(gap) + int((gap // 255).sum()), 255, np.uint8)
+    out[np.cumsum(gap // 255 + 1) - 1] = gap % 255
+    return np.int32(len(s)).tobytes() + out.tobytes()
+
+
+def unpacked(raw: bytes) -> tuple[int, np.ndarray]:
+    """A set's size and the sorted distinct values of its hashes."""
+    gap = np.frombuffer(raw, np.uint8, offset=4)
+    v = np.cumsum(gap, dtype=np.int32)[gap < 255]
+    return int(np.frombuffer(raw, np.int32, 1)[0]), v + np.arange(len(v), dtype=np.int32)
+
+
 def signed_docs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, s1, s2, sig, low, bits)`` of every document that has words: set size, 128-bit set hash, MinHash, least hashes, bitmap."""
+    """``(doc_id, n, s1, s2, sig, low, packed)`` of every document that has words: set size, 128-bit set hash, MinHash, least hashes, packed set."""
 
     def run(batches):
         for batch in vec.small(batches):
@@ -125,10 +148,10 @@ def signed_docs(docs: DataFrame) -> DataFrame:
             s2 = np.array([vec.mix(s, 2).sum() for *_, s in rows], vec.U)
             sig = pa.array([signature(s).tobytes() for *_, s in rows], pa.binary())
             low = pa.array([sampled(s)[:SAMPLE].view(np.int64) for *_, s in rows], pa.list_(pa.int64()))
-            bits = pa.array([bitmap(s) for *_, s in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([n for _, n, _ in rows], pa.int32()), vec.signed(s1), vec.signed(s2), sig, low, bits], ["doc_id", "n", "s1", "s2", "sig", "low", "bits"])
+            small = pa.array([packed(s) for *_, s in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([n for _, n, _ in rows], pa.int32()), vec.signed(s1), vec.signed(s2), sig, low, small], ["doc_id", "n", "s1", "s2", "sig", "low", "packed"])
 
-    return texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id bigint, n int, s1 bigint, s2 bigint, sig binary, low array<bigint>, bits binary")
+    return texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id bigint, n int, s1 bigint, s2 bigint, sig binary, low array<bigint>, packed binary")
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -228,16 +251,21 @@ def enough(chance: float, ratio: float | np.ndarray = MAX_RATIO) -> np.ndarray:
     return np.floor(HASHES * expected - SIGMAS * np.sqrt(HASHES * expected * (1 - expected)))
 
 
-def likely(pairs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sizes and signatures allow near copies."""
-    pairs = scratch.table(pairs, "minhash-met")
-    named = vec.bloom_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", 26)
+def _those(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows``, the first column of which is an id, without most of those whose ids aren't among ``ids(id)``; rows without an id aren't allowed."""
+    named = vec.bloom_of(ids.distinct(), "id", 26)
 
-    def those(batches):
+    def run(batches):
         for batch in batches:
             yield batch.filter(pa.array(named.has(batch.column(0).to_numpy().view(vec.U))))
 
-    reps = reps.select("id", "n", "sig").mapInArrow(those, "id bigint, n int, sig binary")
+    return rows.mapInArrow(run, rows.schema)
+
+
+def likely(pairs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sizes and signatures allow near copies."""
+    pairs = scratch.table(pairs, "minhash-met")
+    reps = _those(reps.select("id", "n", "sig"), pairs.select(F.explode(F.array("a", "b")).alias("id")))
 
     def run(batches):
         for batch in batches:
@@ -264,8 +292,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, ratio: float =
     """Those of the distinct ``pairs(a, b)`` that are near copies, or links of sizes up to ``ratio``, by exact containment.
 
     Only texts that a candidate names are hashed again: a Bloom table of fixed
-    size lets their ids through, the join to the pairs is exact.  Each b goes
-    to the group of its a; a itself goes first to all of the group's parts.
+    size lets their ids through, the join to the pairs is exact.
     """
     bloom = vec.bloom_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", 26)
 
@@ -276,6 +303,38 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, ratio: float =
                 part = batch.take(some[lo : lo + 256])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in shingle_sets(part.column(1))], pa.binary())], ["id", "s"])
 
+    load = lambda raw: np.frombuffer(raw, vec.U)
+    return _dealt(pairs, texts(docs).where("doc_id is not null").mapInArrow(hashed, "id bigint, s binary"), load, load, lambda s, t: alike(s, t, ratio))
+
+
+def plausible(pairs: DataFrame, signs: DataFrame, ratio: float = MAX_RATIO) -> DataFrame:
+    """Those of the distinct ``pairs(a, b)`` that :func:`verified` can find right, by packed sets, an eighth of the bytes or less.
+
+    Values that the larger set lacks are no more than the shingles that it lacks, so no pair is lost.
+    """
+
+    def head(raw):
+        n, v = unpacked(raw)
+        has = np.zeros(PACKED, bool)
+        has[v] = True
+        return n, len(v), has
+
+    def fits(s, t):
+        (n, v), (m, values, has) = s, t
+        least = min(n, m)
+        lacks = (len(v) if n <= m else values) - int(has[v].sum())
+        return max(n, m) <= ratio * least and lacks <= least - math.ceil(THRESHOLD * least - 1e-9)
+
+    sets = _those(signs.select(F.col("doc_id").alias("id"), F.col("packed").alias("s")), pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    return _dealt(pairs, sets, head, unpacked, fits)
+
+
+def _dealt(pairs: DataFrame, sets: DataFrame, head, load, fits) -> DataFrame:
+    """Those of the distinct ``pairs(a, b)`` of which any of b's ``sets(id, s)`` fits any of a's.
+
+    Each b goes to the group of its a; a itself goes first to all of the group's parts.
+    """
+
     def held(batches):
         group, heads = None, []
         for batch in batches:
@@ -283,10 +342,9 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, ratio: float =
             for a, part, first, b, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (a, part) != group:
                     group, heads = (a, part), []
-                s = np.frombuffer(raw, vec.U)
                 if first:
-                    heads.append(s)
-                elif any(alike(s, t, ratio) for t in heads):
+                    heads.append(head(raw))
+                elif any(fits(s, t) for s in (load(raw),) for t in heads):
                     out.append((a, b))
             x = np.array(out, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
@@ -294,7 +352,6 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, ratio: float =
     parts = pairs.groupBy(F.col("a").alias("g")).agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     heads = parts.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("first"), F.col("g").alias("to"))
     others = pairs.join(parts, F.col("a") == F.col("g")).select("g", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"), F.col("b").alias("to"))
-    sets = texts(docs).where("doc_id is not null").mapInArrow(hashed, "id bigint, s binary")
     dealt = sets.join(heads.unionAll(others), F.col("id") == F.col("to")).select("g", "part", "first", "id", "s")
     # a set of some kilobytes is not sorted twice
     return dealt.repartition("g", "part").sortWithinPartitions("g", "part", F.desc("first")).mapInArrow(held, "a bigint, b bigint").distinct()
@@ -309,7 +366,7 @@ def _nibbles(reps: DataFrame, ids: DataFrame) -> DataFrame:
             packed = ((sig & vec.U(15)) << (np.arange(16, dtype=vec.U) * vec.U(4))).sum(axis=2, dtype=vec.U)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(vec.signed(np.ascontiguousarray(packed[:, k])) for k in range(HASHES // 16))], ["id", *(f"k{k}" for k in range(HASHES // 16))])
 
-    return reps.join(ids, "id", "left_semi").select("id", "sig").mapInArrow(run, "id bigint, " + ", ".join(f"k{k} bigint" for k in range(HASHES // 16)))
+    return _those(reps.select("id", "sig"), ids).join(ids, "id", "left_semi").select("id", "sig").mapInArrow(run, "id bigint, " + ", ".join(f"k{k} bigint" for k in range(HASHES // 16)))
 
 
 def _agreeing(x: str, y: str) -> Column:
@@ -338,12 +395,14 @@ def classes(docs: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     signs = scratch.table(signed_docs(docs), "minhash")
     reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "minhash-sets")
+    scratch.tidy()
     low = bounds(reps)
     if not low:
         roots = families = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
         inner = docs.sparkSession.createDataFrame([], "inner bigint")
     else:
-        roots = _roots(docs, reps, low, _repeated(signs, reps), scratch)
+        roots = _roots(docs, signs, reps, low, _repeated(signs, reps), scratch)
+        scratch.tidy()
         families, inner = _families(docs, signs, reps, roots, scratch)
     root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
     known = reps.select("id", "s1", "s2").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
@@ -370,18 +429,21 @@ def _held(posts: DataFrame, roots: DataFrame) -> DataFrame:
     return held.join(mixed, F.col("key") == F.col("k"), "left_semi")
 
 
-def _roots(docs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame, scratch: Scratch) -> DataFrame:
+def _roots(docs: DataFrame, signs: DataFrame, reps: DataFrame, low: list[int], repeated: DataFrame, scratch: Scratch) -> DataFrame:
     posts = postings(reps, low)
     shared = posts.groupBy(F.col("key").alias("k")).agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").select("k", "hub")
     shared = scratch.table(shared, "minhash-shared")
     posts = postings(reps, low, vec.bloom_of(shared, "k", 26))
     posts = scratch.table(posts.join(shared, F.col("key") == F.col("k")).select("key", "id", "n", "hub"), "minhash-buckets")
+    scratch.tidy()
     edge = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     # each set with the smallest hub of its buckets
     tried = scratch.table(likely(posts.where("id <> hub").groupBy("id").agg(F.min("hub").alias("a")).select("a", F.col("id").alias("b")), reps, scratch), "minhash-stars")
-    roots = components(repeated.unionAll(verified(tried, docs, scratch)), scratch)
-    joined = lambda more: components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(verified(more, docs, scratch)), scratch)
+    exact = lambda x: verified(scratch.table(plausible(x, signs), "minhash-plausible"), docs, scratch)
+    roots = components(repeated.unionAll(exact(tried)), scratch)
+    joined = lambda more: components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(exact(more)), scratch)
     for k in range(ROUNDS + 1):
+        scratch.tidy()
         held = scratch.table(_held(posts, roots), "minhash-rest")
         if held.isEmpty():
             return roots
@@ -498,6 +560,17 @@ def buckets(found: DataFrame) -> DataFrame:
     return found.repartition("key").sortWithinPartitions("key").mapInArrow(run, BUCKETS)
 
 
+def _bits(sets: DataFrame) -> DataFrame:
+    """``(id, n, bits)``: bitmaps of packed sets."""
+
+    def run(batches):
+        for batch in vec.small(batches):
+            bits = [bitmap(unpacked(raw)[1].astype(vec.U)) for raw in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["id", "n", "bits"])
+
+    return sets.mapInArrow(run, "id bigint, n int, bits binary")
+
+
 def _larger(rows: DataFrame) -> DataFrame:
     """``(a, b)``: of each key, the rows b that still look for sets that hold them, with larger ones of other classes, or families if found already, whose bitmaps lack no more than they may."""
 
@@ -539,6 +612,38 @@ def _looks(rows: DataFrame) -> DataFrame:
     return own.where(several > 0).select("id", F.explode(F.slice("keys", F.lit(1), several)).alias("x")).select("id", "x.key")
 
 
+def _hashes(docs: DataFrame, ids: DataFrame, some) -> DataFrame:
+    """``(key, id, n)``: those ``some`` of the ordered hashes of the texts that ``ids(id)`` names, and of few others."""
+    named = vec.bloom_of(ids.distinct(), "id", 26)
+
+    def run(batches):
+        for batch in vec.small(batches):
+            batch = batch.take(pa.array(np.flatnonzero(named.has(batch.column(0).to_numpy().view(vec.U)))))
+            sets = [sampled(s) for s in shingle_sets(batch.column(1))]
+            keys = [np.zeros(0, vec.U), *map(some, sets)]
+            at = np.repeat(np.arange(len(sets)), [len(k) for k in keys[1:]])
+            size = np.array([len(s) for s in sets], np.int32)
+            yield pa.RecordBatch.from_arrays([vec.signed(np.concatenate(keys)), batch.column(0).take(pa.array(at)), pa.array(size[at])], ["key", "id", "n"])
+
+    return texts(docs).where("doc_id is not null").mapInArrow(run, "key bigint, id bigint, n int")
+
+
+def _held_somewhere(docs: DataFrame, rows: DataFrame, look: DataFrame, scratch: Scratch) -> DataFrame:
+    """Those of ``look(id, key)`` whose sets have enough hashes that larger sets of the buckets hold, each hash any of them.
+
+    Most sets that look in vain have a line that many hold and some words of
+    their own, which no larger set holds.
+    """
+    wide = scratch.table(_hashes(docs, look.select("id"), lambda m: m[:WIDE]), "minhash-wide")
+    asked = vec.bloom_of(wide, "key", 26)
+    holders = rows.join(look.select("key").distinct(), "key", "left_semi").select("id")
+    most = _hashes(docs, holders, lambda m: m[asked.has(m)]).groupBy(F.col("key").alias("held_key")).agg(F.max("n").alias("most"))
+    held = wide.join(most, F.col("key") == F.col("held_key")).where(F.col("most") > F.col("n") * MAX_RATIO)
+    least = F.when(F.col("n") <= WIDE, F.ceil(F.col("n") * THRESHOLD - 1e-9)).otherwise(WIDE_SHARED)
+    live = held.groupBy("id", "n").agg(F.count("*").alias("held")).where(F.col("held") >= least)
+    return look.join(live.select("id").distinct(), "id", "left_semi")
+
+
 def _sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` of which a holds enough of what b posted."""
     own = rows.where("own").select("key", F.col("id").alias("of"), "n")
@@ -552,26 +657,33 @@ def _families(docs: DataFrame, signs: DataFrame, reps: DataFrame, roots: DataFra
     low = reps.select(F.explode("low").alias("key"))
     high = low.where((F.col("key") < 0) | (F.col("key") >= COMMON))
     rows = scratch.table(buckets(hits(docs, vec.bloom_of(low, "key", 26), vec.bloom_of(high, "key", 26))), "minhash-holders")
+    scratch.tidy()
     link = lambda x: x.select(F.col("a"), F.col("b")).where("a <> b").distinct()
     tried = scratch.table(_sharing(link(rows.where("up is not null").select(F.col("up").alias("a"), F.col("id").alias("b")).unionAll(rows.where("down is not null").select(F.col("id").alias("a"), F.col("down").alias("b")))), rows), "minhash-ends")
-    links = scratch.table(verified(tried, docs, scratch, math.inf), "minhash-inner")
+    exact = lambda x: verified(scratch.table(plausible(x, signs, math.inf), "minhash-plausible"), docs, scratch, math.inf)
+    scratch.tidy()
+    links = scratch.table(exact(tried), "minhash-inner")
+    scratch.tidy()
     edges = lambda x, y: components(x.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(y), scratch)
     families = edges(roots, links)
     inner = links.select(F.col("b").alias("inner")).distinct()
     root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
     look = scratch.table(_looks(rows), "minhash-looks")
+    look = scratch.table(_held_somewhere(docs, rows, look, scratch), "minhash-looks-held")
     # only the buckets in which a set looks
     x = rows.join(look.select("key").distinct(), "key", "left_semi").select("key", "n", "id")
     x = x.join(look.select("key", "id", F.lit(True).alias("looks")), ["key", "id"], "left")
     x = scratch.table(x.join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left"), "minhash-looking")
     # rows that repeat a doc_id may have several sets of a size, each with its bitmap
-    bits = signs.select(F.col("doc_id").alias("id"), "n", "s1", "s2", "bits").join(x.select("id").distinct(), "id", "left_semi").groupBy("id", "n", "s1", "s2").agg(F.first("bits").alias("bits"))
-    x = x.join(bits.select("id", "n", "bits"), ["id", "n"])
+    bits = _bits(_those(signs.select(F.col("doc_id").alias("id"), "n", "packed"), x.select("id"))).repartition("id").distinct()
+    x = x.withColumnRenamed("n", "size").join(bits, "id").where("n = size")
     x = x.select("key", "n", "id", F.coalesce("looks", F.lit(False)).alias("looks"), F.col("inner").isNotNull().alias("held"), F.coalesce("class", "id").alias("kind"), F.coalesce("family", "id").alias("kin"), "bits")
+    scratch.tidy()
     more = scratch.table(_sharing(_larger(x), rows).join(tried, ["a", "b"], "left_anti"), "minhash-larger")
+    scratch.tidy()
     if more.isEmpty():
         return families, inner
-    found = scratch.table(verified(more, docs, scratch, math.inf), "minhash-more-inner")
+    found = scratch.table(exact(more), "minhash-more-inner")
     return edges(families, found), inner.unionAll(found.select("b")).distinct()
 
 

@@ -64,6 +64,10 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def tidy(self) -> None:
+        """Let go of the files of shuffles that have ended: they stay until the driver's JVM collects what refers to them, which a large heap may put off."""
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, keep: int = 0) -> None:
         """Remove all tables but the last ``keep``."""
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
