@@ -18,19 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vellum.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
-from vellum.llm.shared import Scratch, table
-
-
-#: Bytes of an Arrow batch, after the row that goes beyond; by default Spark packs 10,000 whole texts.
-BATCH = 4 << 20
-
-
-def bounded(spark: SparkSession) -> None:
-    """From now on Arrow batches of this session hold about BATCH bytes, unless it has a bound of its own: they are held once
-    by the executor and some times by each Python worker.  No result depends on how texts are batched."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, str(BATCH))
+from vellum.llm.shared import Scratch, bounded, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

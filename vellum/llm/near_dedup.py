@@ -251,9 +251,14 @@ def enough(chance: float, ratio: float | np.ndarray = MAX_RATIO) -> np.ndarray:
     return np.floor(HASHES * expected - SIGMAS * np.sqrt(HASHES * expected * (1 - expected)))
 
 
+def _named(ids: DataFrame) -> vec.Bloom:
+    """A Bloom table of ``ids`` of one column: 16 bits or more each, as long as these are not more than 2^26."""
+    return vec.bloom_of(ids, ids.columns[0], min(max((16 * ids.count()).bit_length(), 12), 26))
+
+
 def _those(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """``rows``, the first column of which is an id, without most of those whose ids aren't among ``ids(id)``; rows without an id aren't allowed."""
-    named = vec.bloom_of(ids.distinct(), "id", 26)
+    named = _named(ids)
 
     def run(batches):
         for batch in batches:
@@ -291,10 +296,10 @@ def alike(s: np.ndarray, t: np.ndarray, ratio: float = MAX_RATIO) -> bool:
 def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, ratio: float = MAX_RATIO) -> DataFrame:
     """Those of the distinct ``pairs(a, b)`` that are near copies, or links of sizes up to ``ratio``, by exact containment.
 
-    Only texts that a candidate names are hashed again: a Bloom table of fixed
+    Only texts that a candidate names are hashed again: a Bloom table of bounded
     size lets their ids through, the join to the pairs is exact.
     """
-    bloom = vec.bloom_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", 26)
+    bloom = _named(pairs.select(F.explode(F.array("a", "b")).alias("id")))
 
     def hashed(batches):
         for batch in vec.small(batches):
@@ -394,7 +399,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def _classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     signs = scratch.table(signed_docs(docs), "minhash")
-    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "minhash-sets")
+    reps = scratch.table(signs.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "minhash-sets")
     scratch.tidy()
     low = bounds(reps)
     if not low:
@@ -403,7 +408,7 @@ def _classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     else:
         roots = _roots(docs, signs, reps, low, _repeated(signs, reps), scratch)
         scratch.tidy()
-        families, inner = _families(docs, signs, reps, roots, scratch)
+        families, inner = _families(docs, signs, roots, scratch)
     root = lambda x, name: x.select(F.col("node").alias(f"{name}_node"), F.col("root").alias(name))
     known = reps.select("id", "s1", "s2").join(root(roots, "class"), F.col("id") == F.col("class_node"), "left").join(root(families, "family"), F.col("id") == F.col("family_node"), "left").join(inner, F.col("id") == F.col("inner"), "left")
     known = known.select("s1", "s2", F.coalesce("class", "id").alias("root"), F.coalesce("family", "id").alias("family"), F.col("inner").isNotNull().alias("held"))
@@ -614,7 +619,7 @@ def _looks(rows: DataFrame) -> DataFrame:
 
 def _hashes(docs: DataFrame, ids: DataFrame, some) -> DataFrame:
     """``(key, id, n)``: those ``some`` of the ordered hashes of the texts that ``ids(id)`` names, and of few others."""
-    named = vec.bloom_of(ids.distinct(), "id", 26)
+    named = _named(ids)
 
     def run(batches):
         for batch in vec.small(batches):
@@ -635,7 +640,7 @@ def _held_somewhere(docs: DataFrame, rows: DataFrame, look: DataFrame, scratch:
     their own, which no larger set holds.
     """
     wide = scratch.table(_hashes(docs, look.select("id"), lambda m: m[:WIDE]), "minhash-wide")
-    asked = vec.bloom_of(wide, "key", 26)
+    asked = _named(wide.select("key"))
     holders = rows.join(look.select("key").distinct(), "key", "left_semi").select("id")
     most = _hashes(docs, holders, lambda m: m[asked.has(m)]).groupBy(F.col("key").alias("held_key")).agg(F.max("n").alias("most"))
     held = wide.join(most, F.col("key") == F.col("held_key")).where(F.col("most") > F.col("n") * MAX_RATIO)
@@ -652,9 +657,9 @@ def _sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= _least(F.col("n"))).select("a", "b")
 
 
-def _families(docs: DataFrame, signs: DataFrame, reps: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _families(docs: DataFrame, signs: DataFrame, roots: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``(node, root)`` by links of any sizes, and the ids ``inner`` of sets that lie in much larger ones."""
-    low = reps.select(F.explode("low").alias("key"))
+    low = signs.select(F.explode("low").alias("key"))
     high = low.where((F.col("key") < 0) | (F.col("key") >= COMMON))
     rows = scratch.table(buckets(hits(docs, vec.bloom_of(low, "key", 26), vec.bloom_of(high, "key", 26))), "minhash-holders")
     scratch.tidy()
