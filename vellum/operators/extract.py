@@ -20,6 +20,9 @@ Extractor = Callable[[str, str], "str | dict | None"]
 
 SCHEMA = "paper_key string, md string, details map<string,string>, error string"
 
+#: Characters of results that a task holds before it sends them.
+HELD = 1 << 20
+
 
 def failure_text(stderr: str, stdout: str, code: int) -> str:
     """What a failed command says: its errors, else its output, else its code."""
@@ -94,12 +97,14 @@ def extracted(pending: DataFrame, extractor: Extractor, tasks: int | None = None
     """``pending(paper_key, pdf_path, raw_dir)`` to ``(paper_key, md, details, error)``.
 
     With ``reuse``, a Markdown file that lies at a row's ``md_path`` already is
-    taken as the result.  Jobs are dealt out in small partitions, their durations being uneven.
+    taken as the result.  Jobs are dealt out in small partitions, their durations being uneven;
+    results travel in frames of many rows, a frame costing far more than its rows do.
     Effects run again when an action does: write the result once.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            rows, held = [], 0
             for key, pdf, raw, *ready in zip(*(frame[c] for c in columns), strict=True):
                 md, details, error = None, None, None
                 try:
@@ -110,13 +115,22 @@ def extracted(pending: DataFrame, extractor: Extractor, tasks: int | None = None
                     if got is not None and not isinstance(got, dict):
                         raise ExtractionError("an extractor returns text, a dict or None")
                     got = dict(got or {})
-                    md = got.pop("markdown", None)
+                    text = got.pop("markdown", None)
+                    if not isinstance(text, str | bytes | None):  # it would fail the rows beside it, or count as none
+                        raise ExtractionError("an extractor's markdown is text")
+                    md = text
                     details = {str(k): v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for k, v in got.items() if v is not None}
                 except Exception as e:  # noqa: BLE001 one bad document never stops the rest
                     error = str(e) or type(e).__name__
-                yield pd.DataFrame({"paper_key": [key], "md": [md], "details": [details], "error": [error]})
-
-    columns = ["paper_key", "pdf_path", "raw_dir", *["md_path"] * reuse]
+                rows.append((key, md, details, error))
+                held += len(md or "") + len(error or "") + sum(len(k) + len(v) for k, v in (details or {}).items())
+                if held > HELD:
+                    yield pd.DataFrame(rows, columns=names, dtype=object)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    columns, names = ["paper_key", "pdf_path", "raw_dir", *["md_path"] * reuse], ["paper_key", "md", "details", "error"]
     spread = pending.repartition(tasks) if tasks else pending
     return spread.select(*columns).mapInPandas(run, SCHEMA)
 

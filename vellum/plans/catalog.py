@@ -431,10 +431,13 @@ def caption_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH h AS (SELECT doc_id, doc_id % 3 = 0 AS have FROM documents), m AS (SELECT doc_id, {_MADE} FROM documents)
 SELECT doc_id, CASE WHEN have THEN 'kept ' || doc_id ELSE md END AS md, CASE WHEN NOT have THEN error END AS error, have AS reused FROM h JOIN m USING (doc_id)""")
 def reuse_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results that are there are used again; failed ones, and jobs without any, go to the extractor."""
+    """Results that are there are used again; failed ones, and jobs without any, go to the extractor.
+
+    What the anti-join leaves is a few bytes a job, so its partitions would be merged into few, and those run few extractors at once.
+    """
     jobs = _numbered(spark, sf_dir)
     last = jobs.where("doc_id % 3 < 2").select("paper_key", F.concat(F.lit("kept "), "paper_key").alias("md"), F.when(F.col("doc_id") % 3 == 1, "failed before").alias("error"))
     have = last.where("error is null")
-    made = extract.extracted(jobs.join(have.select("paper_key"), "paper_key", "left_anti"), _extractor)
+    made = extract.extracted(jobs.join(have.select("paper_key"), "paper_key", "left_anti"), _extractor, spark.sparkContext.defaultParallelism)
     key = F.col("paper_key").cast("bigint").alias("doc_id")
     return have.select(key, "md", "error", F.lit(True).alias("reused")).unionByName(made.select(key, "md", "error", F.lit(False).alias("reused")))
