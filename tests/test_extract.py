@@ -37,3 +37,16 @@ def test_reused_results_leave_the_rest_dealt_out(spark):
     rest = catalog.QUERIES["reuse_outputs"](spark, SF).where("not reused")
     assert rest.count() == 133
     assert rest.select(F.spark_partition_id()).distinct().count() == spark.sparkContext.defaultParallelism
+
+
+def test_failures_stay_with_their_row_of_a_frame(spark):
+    """Documents that fail share a frame with others, and so must not fail or empty them: results of no text type included."""
+    (made,) = frames(catalog._extractor, 500)
+    for k, (md, error) in enumerate(zip(made.md, made.error, strict=True)):
+        bad = f"no text in {k}" if k % 11 == 0 else None if k % 13 == 0 else "an extractor returns text, a dict or None" if k % 17 == 0 else None
+        assert (md, error) == (None if k % 11 == 0 or k % 13 == 0 or k % 17 == 0 else f"# {k}", bad)
+    odd = {"nan": float("nan"), "number": 5, "list": ["a"], "text": "a", "none": None}
+    jobs = spark.createDataFrame([(n, n, "/raw") for n in odd], "paper_key string, pdf_path string, raw_dir string").coalesce(1)
+    rows = {r.paper_key: (r.md, r.error) for r in extract.extracted(jobs, lambda pdf, raw: {"markdown": odd[pdf]}).collect()}
+    wrong = (None, "an extractor's markdown is text")
+    assert rows == {"nan": wrong, "number": wrong, "list": wrong, "text": ("a", None), "none": (None, None)}
